@@ -45,7 +45,7 @@ def uniform(id_col: Column, seed: str) -> Column:
 
 def tokens(text: Column) -> Column:
     """Runs of anything but ASCII white space."""
-    return F.coalesce(F.length(F.regexp_replace(F.regexp_replace(text, r"[^ \t-\r]+", "x"), r"[ \t-\r]+", "")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^ \t-\r]++")), F.lit(0)).cast("long")
 
 
 def scale_for(tokens_: np.ndarray, factor: np.ndarray, budget: float) -> float:
@@ -114,5 +114,5 @@ def columns_of(mixed: DataFrame, docs: DataFrame) -> list[Column]:
 def topic_of(text: Column) -> Column:
     """A rule-based topic of a document by what it holds: licence, contact, table, shouting, else prose by its length."""
     n = F.length(text)
-    return (F.when(text.isNull() | (n == 0), "empty").when(text.rlike("(?i)licen[cs]e"), "licence").when(text.rlike("[A-Za-z0-9._]+@[A-Za-z0-9]+|[0-9]{3}-[0-9]{4}"), "contact")
+    return (F.when(text.isNull() | (n == 0), "empty").when(text.rlike("(?i)licen[cs]e"), "licence").when((F.contains(text, F.lit("@")) & text.rlike("[A-Za-z0-9._]@[A-Za-z0-9]")) | (F.contains(text, F.lit("-")) & text.rlike("[0-9]{3}-[0-9]{4}")), "contact")
             .when(F.contains(text, F.lit(" | ")), "table").when(n < 800, "short").when(n < 3000, "medium").otherwise("long"))
