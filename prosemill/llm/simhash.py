@@ -160,7 +160,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE,
 def deduplicated(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one of least id; rows without an id stay, rows that share an id are one document."""
     classes = stored(near_duplicates(docs, shingle, distance, id_col, text_col).where("id is not null").groupBy("id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "classes")
-    kept = docs.join(classes.where("id != component_id").select("id"), docs[id_col] == F.col("id"), "left_anti")
+    gone = classes.where("id != component_id").select(F.col("id").alias("gone")).hint("merge")  # one plan at every size
+    kept = docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
     if classes.where("n > 1").isEmpty():
         return kept
     known = F.col(id_col).isNotNull()
