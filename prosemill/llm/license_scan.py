@@ -43,11 +43,12 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(TOKEN), F.lit(0))
 
 
-def candidate_lines(files: DataFrame, anchors: tuple[str, ...]) -> DataFrame:
-    """(file, path, line) of the lines that hold an anchor word; `file` numbers rows."""
+def candidate_tokens(files: DataFrame, anchors: tuple[str, ...]) -> DataFrame:
+    """(file, line, token), line being a number, of the lines that hold an anchor word; dealt by file, once."""
+    spark = files.sparkSession
     pattern = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, anchors)) + r")(?![\p{L}\p{N}])"
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(pattern))
-    return files.where(F.col("text").rlike(pattern)).select("file", "path", F.explode(lines).alias("line"))
+    lines = files.where(F.col("text").rlike(pattern)).select("file", F.posexplode(F.split("text", "\n")).alias("line", "said")).where(F.col("said").rlike(pattern))
+    return lines.select("file", "line", F.explode(tokens(F.col("said"))).alias("token")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
 
 
 def own_licences(files: DataFrame, templates: dict[str, str], anchors: tuple[str, ...], least: float) -> DataFrame:
@@ -57,18 +58,17 @@ def own_licences(files: DataFrame, templates: dict[str, str], anchors: tuple[str
     spark = files.sparkSession
     counts = template_counts(templates)
     rows = spark.createDataFrame([(name, token, float(n)) for name, c in counts.items() for token, n in c.items()], "template string, token string, tf double")
-    lines = candidate_lines(files, anchors).select("file", "line", F.explode(tokens(F.col("line"))).alias("token"))
-    per_line = lines.groupBy("file", "line", "token").agg(F.count("*").cast("double").alias("tf"))
+    per_line = candidate_tokens(files, anchors).groupBy("file", "line", "token").agg(F.count("*").cast("double").alias("tf"))
     total = files.agg(F.count("*")).scalar()
     vocabulary = rows.select("token").distinct()
-    seen = per_line.join(F.broadcast(vocabulary), "token", "left_semi").groupBy("token").agg(F.countDistinct("file").alias("df"))
+    seen = per_line.join(F.broadcast(vocabulary), "token", "left_semi").select("file", "token").distinct().groupBy("token").agg(F.count("*").alias("df"))
     idf = vocabulary.join(seen, "token", "left").select("token", F.log(1 + total / (1 + F.coalesce("df", F.lit(0)))).alias("idf"))
-    vectors = rows.join(idf, "token").select("template", "token", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    vectors = rows.join(idf, "token").select("template", "token", (F.col("tf") * F.col("idf")).alias("tw"))
+    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("norm"))
     weighted = per_line.join(F.broadcast(idf), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(1 + total / F.lit(1))))
     line_norms = weighted.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("line_norm"))
-    products = weighted.join(F.broadcast(vectors.withColumnRenamed("w", "tw")), "token").groupBy("file", "line", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = products.join(line_norms, ["file", "line"]).join(F.broadcast(norms), "template").withColumn("cosine", F.col("dot") / (F.col("line_norm") * F.col("norm")))
+    products = weighted.join(F.broadcast(vectors), "token").groupBy("file", "line", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = products.join(line_norms.hint("shuffle_hash"), ["file", "line"]).join(F.broadcast(norms), "template").withColumn("cosine", F.col("dot") / (F.col("line_norm") * F.col("norm")))
     best = scored.groupBy("file").agg(F.min(F.struct((-F.round("cosine", 9)).alias("minus"), F.col("template"))).alias("best"))
     return best.select("file", F.col("best.template").alias("licence"), (-F.col("best.minus")).alias("cosine")).where(F.col("cosine") >= least)
 
