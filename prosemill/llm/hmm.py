@@ -299,7 +299,7 @@ def _iteration(texts: DataFrame, chain: Chain) -> Chain:
 
 
 def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, hashed: int = 256, iterations: int = 2,
-          sample_docs: int = 2000, sample_chars: int = 12000, block_words: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          sample_docs: int = 2000, sample_chars: int = 12000, block_words: int = 1 << 19, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; scores are log10 probabilities,
     base_score that of the add-0.1 unigram model, score that of the hidden Markov model."""
     spark = docs.sparkSession
