@@ -73,10 +73,15 @@ def slices(batches: Iterable[pa.RecordBatch], text_at: int, limit: int = 4 << 20
         yield batch.slice(begin)
 
 
-def sampled_ids(rows: DataFrame, id_col: str, group_col: str, per_group: int) -> DataFrame:
-    """Per group the `per_group` ids of least md5: a bounded sample that does not depend on partitions."""
+def sampled_ids(rows: DataFrame, id_col: str, group_col: str, per_group: int, known: dict) -> DataFrame:
+    """Per group about the `per_group` ids of least md5, which doesn't depend on partitions.  `known` has the groups' row
+    numbers: only ids whose md5, as a share of the whole range, is below 4 x per_group / number are ranked, so the
+    ranking sees a bounded number of rows of each group, however many it has."""
     from pyspark.sql import Window
 
-    key = F.md5(F.col(id_col).cast("string").cast("binary"))
+    digest = F.md5(F.col(id_col).cast("string").cast("binary"))
+    share = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
+    most = F.create_map(*(x for group, n in known.items() for x in (F.lit(group), F.lit(4.0 * per_group / n)))) if known else F.create_map(F.lit(""), F.lit(1.0))
     order = Window.partitionBy(group_col).orderBy("_key", id_col)
-    return rows.select(group_col, id_col).where(F.col(id_col).isNotNull()).distinct().withColumn("_key", key).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).drop("_key")
+    near = rows.select(group_col, id_col, digest.alias("_key"), share.alias("_share")).where(F.col(id_col).isNotNull()).where(F.col("_share") < F.try_element_at(most, F.col(group_col)))
+    return near.select(group_col, id_col, "_key").distinct().withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).drop("_key")

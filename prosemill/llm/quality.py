@@ -56,7 +56,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 2000
     if len(share) < 2:
         p = min(0.999, max(0.001, float(next(iter(share), 0.5))))
         return QualityModel(None, 0.0, float(np.log(p / (1 - p))))
-    ids = sampled_ids(marked, "id", "label", per_label)
+    ids = sampled_ids(marked, "id", "label", per_label, share)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     middle = lambda n: F.expr(f"substring(text, greatest(1, cast(length(text) / 2 - {n // 2} as int)), {n})")
     found = texts.join(F.broadcast(ids), "id").select("label", "_rank", middle(piece).alias("piece"), F.when(F.col("_rank") <= calibration_docs, middle(calibration_chars)).alias("text"))
