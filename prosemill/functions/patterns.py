@@ -8,6 +8,10 @@ from __future__ import annotations
 
 S = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NS = r"[^\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: White space within a line.
+H = r"[\t \x1f\xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
+#: The characters of S, for trim and translate.
+SPACES = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 W = r"[\p{L}\p{N}_]"
 NB = rf"(?!{W})"
 PB = rf"(?<!{W})"
@@ -83,7 +87,7 @@ STEPS = (
     ("url_url_links", rf"\[(?:https?|ftp)://{NS}+{S}+(?:https?|ftp)://{NS}+\]", ""),
     ("url_links", rf"\[(?:https?|ftp)://{NS}+{S}+((?!(?:https?|ftp)://)[^\]]+)\]", "$1"),
     ("bare_links", rf"\[(?:https?|ftp)://{NS}+\]", ""),
-    ("urls", rf"(?<![\p{{L}}\p{{N}}_\"])(?:https?|ftp)://{NS}+", ""),
+    ("urls", rf"(?=[hf])(?<![\p{{L}}\p{{N}}_\"])(?:https?|ftp)://{NS}+", ""),
     ("bold", r"'{2,5}", ""),
     ("tables", r"(?dms)^\{\|.*?\|\}$", ""),
     ("pipe_lines", r"(?dm)^[ \t]*\|+[ \t]*$", ""),
@@ -93,7 +97,7 @@ STEPS = (
     ("inner_pipes", r"\|+", " "),
     ("phonetics", r"\[[^\[\]\n]{0,120}?[ˈˌ][^\[\]\n]{0,120}?\]", " "),
     ("coordinate_templates", rf"{I}\{{\{{{S}*(?:koordinate|coordinate|coord)[^{{}}]*+(?:\{{[^{{}}]*+\}}[^{{}}]*+)*+\}}\}}", ""),
-    ("coordinates", rf"{PB}{_PAIR}[NS]?(?:{S}*[,;/]{S}*|{S}+){_PAIR}[OEW]?{EDGE}|{PB}{_DEGREE}[NS]{S}*[,;/]?{S}*{_DEGREE}[EOW]{NB}", " "),
+    ("coordinates", rf"(?=\p{{Nd}}){PB}(?:{_PAIR}[NS]?(?:{S}*[,;/]{S}*|{S}+){_PAIR}[OEW]?{EDGE}|{_DEGREE}[NS]{S}*[,;/]?{S}*{_DEGREE}[EOW]{NB})", " "),
 )
-LINE_END = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-HEADING = rf"^{S}*(={{2,6}}){S}*(.*?){S}*\1{S}*$"
+LINE_ENDS = "".join(map(chr, (13, 11, 12, 28, 29, 30, 0x85, 0x2028, 0x2029)))
+HEADING = rf"^{H}*(={{2,6}}){H}*(.*?){H}*\1{H}*$"

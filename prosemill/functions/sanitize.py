@@ -39,14 +39,14 @@ def step(text: Column, *names: str) -> Column:
     return reduce(lambda t, x: F.regexp_replace(t, x[1], x[2]), chosen, text)
 
 
-def strip_appendix(text: Column) -> Column:
-    """Without the sections of fixed names and their sub-sections; line ends become newlines.
+def flat(text: Column, spaces: str = "") -> Column:
+    """Every kind of line end as a newline, the given characters as spaces."""
+    return F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), P.LINE_ENDS + spaces, "\n" * len(P.LINE_ENDS) + " " * len(spaces))
 
-    The text is cut before each heading, so the fold runs over sections, not lines: a section is skipped from an
-    appendix heading until a heading of its level or a higher one."""
-    flat = F.regexp_replace(text, P.LINE_END, "\n")
+
+def _without_appendices(text: Column) -> Column:
     inner = P.HEADING.removeprefix("^").removesuffix("$")
-    sections = F.split(flat, rf"(?d)\n(?=(?:{inner})(?:\n|\z))|\n(?=(?:{inner})\z)")
+    sections = F.split(text, rf"(?d)\n(?=(?:{inner})(?:\n|\z))")
     first_line = lambda s: F.substring_index(s, "\n", 1)
     level = lambda s: F.length(F.regexp_extract(first_line(s), P.HEADING, 1))
     named = lambda s: F.lower(F.regexp_extract(first_line(s), P.HEADING, 2)).isin(*P.APPENDICES)
@@ -61,13 +61,24 @@ def strip_appendix(text: Column) -> Column:
     return F.aggregate(sections, empty, fold, lambda state: F.array_join(state["kept"], "\n"))
 
 
+def _tidied(text: Column) -> Column:
+    lines = F.array_join(F.transform(F.split(text, "\n"), strip), "\n")
+    return strip(F.regexp_replace(F.regexp_replace(lines, r"\n{2,}+", "\n\n"), r"[ \t]{2,}+", " "))
+
+
+def strip_appendix(text: Column) -> Column:
+    """Without the sections of fixed names and their sub-sections; line ends become newlines.
+
+    The text is cut before each heading, so the fold runs over sections, not lines: a section is skipped from an
+    appendix heading until a heading of its level or a higher one."""
+    return _without_appendices(flat(text))
+
+
 def tidy(text: Column) -> Column:
     """No-break spaces to spaces, lines stripped, runs of spaces and tabs to one, blank lines to one empty line."""
-    flat = F.regexp_replace(F.translate(text, "\xa0", " "), P.LINE_END, "\n")
-    lines = F.transform(F.split(flat, "\n"), lambda x: F.regexp_replace(strip(x), r"[ \t]{2,}", " "))
-    return strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{2,}", "\n\n"))
+    return _tidied(flat(text, "\xa0"))
 
 
 def sanitize(raw: Column) -> Column:
     markup = step(decode_entities(step(raw, "comments")), *(x[0] for x in P.STEPS))
-    return tidy(strip_appendix(markup))
+    return _tidied(_without_appendices(flat(markup, "\xa0")))

@@ -10,12 +10,12 @@ from . import patterns as P
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(text, rf"^{P.S}++|{P.S}++$", "")
+    return F.trim(text, F.lit(P.SPACES))
 
 
 def word_count(text: Column) -> Column:
     """Runs of anything but Unicode white space."""
-    return F.regexp_count(text, F.lit(f"{P.NS}++"))
+    return F.regexp_count(F.translate(text, P.SPACES, " " * len(P.SPACES)), F.lit("[^ ]++"))
 
 
 def links(raw: Column) -> Column:

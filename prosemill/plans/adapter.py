@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.wiki import spread
+
 ID = "CAST(doc_id AS STRING)"
 NL = "chr(10)"
 
@@ -70,6 +72,6 @@ def pages_sql(documents: str) -> str:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     text = pages_sql("DOCUMENTS").replace("{", "{{").replace("}", "}}").replace("DOCUMENTS", "{documents}")
     return spark.sql(text, documents=documents)

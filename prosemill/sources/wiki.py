@@ -13,6 +13,12 @@ NO_TEXT = ("ref", "references", "gallery", "timeline", "math", "chem", "score",
 DUMP_FILES = "*-pages-articles*"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of few unsplittable files dealt to all cores; where there are partitions enough nothing moves."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def dump(spark: SparkSession, path: str, glob: str | None = None, missing_is_main: bool = True, drop_nested: bool = True) -> DataFrame:
     """Main-namespace pages of XML dumps, bz2 or plain.  A missing <ns> counts as main, or with missing_is_main false
     drops the page.  The first revision's text is taken; in malformed dumps nested elements without text are cut out.
@@ -27,7 +33,7 @@ def dump(spark: SparkSession, path: str, glob: str | None = None, missing_is_mai
     raw = F.coalesce("raw", F.lit(""))
     if drop_nested:
         raw = F.regexp_replace(raw, rf"(?s)<({'|'.join(NO_TEXT)})(?:\s[^>]*)?(?:/>|>.*?</\1\s*>)", "")
-    return rows.select(F.col("id").alias("page_id"), F.col("file").alias("part"), strip(F.coalesce("title", F.lit(""))).alias("title"), raw.alias("raw"))
+    return spread(rows).select(F.col("id").alias("page_id"), F.col("file").alias("part"), strip(F.coalesce("title", F.lit(""))).alias("title"), raw.alias("raw"))
 
 
 def extracted(spark: SparkSession, path: str) -> DataFrame:
