@@ -20,6 +20,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: What the licences' notices say.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -58,14 +60,15 @@ def own_licences(files: DataFrame, templates: dict[str, str], anchors: tuple[str
     spark = files.sparkSession
     counts = template_counts(templates)
     rows = spark.createDataFrame([(name, token, float(n)) for name, c in counts.items() for token, n in c.items()], "template string, token string, tf double")
-    per_line = candidate_tokens(files, anchors).groupBy("file", "line", "token").agg(F.count("*").cast("double").alias("tf"))
+    per_line = stored(candidate_tokens(files, anchors).groupBy("file", "line", "token").agg(F.count("*").cast("double").alias("tf")), "licence-tokens")
+    dealt = per_line.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
     total = files.agg(F.count("*")).scalar()
     vocabulary = rows.select("token").distinct()
     seen = per_line.join(F.broadcast(vocabulary), "token", "left_semi").select("file", "token").distinct().groupBy("token").agg(F.count("*").alias("df"))
     idf = vocabulary.join(seen, "token", "left").select("token", F.log(1 + total / (1 + F.coalesce("df", F.lit(0)))).alias("idf"))
     vectors = rows.join(idf, "token").select("template", "token", (F.col("tf") * F.col("idf")).alias("tw"))
     norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("norm"))
-    weighted = per_line.join(F.broadcast(idf), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(1 + total / F.lit(1))))
+    weighted = dealt.join(F.broadcast(idf), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(1 + total / F.lit(1))))
     line_norms = weighted.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("line_norm"))
     products = weighted.join(F.broadcast(vectors), "token").groupBy("file", "line", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     scored = products.join(line_norms.hint("shuffle_hash"), ["file", "line"]).join(F.broadcast(norms), "template").withColumn("cosine", F.col("dot") / (F.col("line_norm") * F.col("norm")))
@@ -81,7 +84,7 @@ def directory(path: Column) -> Column:
 def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, anchors: tuple[str, ...] = ANCHORS, least: float = 0.6, id_col: str = "file_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(id, path, licence, basis, cosine, licence_dir): basis is own, inherited or none."""
     rows = files.select(F.col(id_col).alias("file"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.col(text_col).alias("text"))
-    own = own_licences(rows, templates, anchors, least)
+    own = stored(own_licences(rows, templates, anchors, least), "licences")
     thin = rows.select("file", "path", directory(F.col("path")).alias("dir"))
     named = thin.where(F.regexp_extract("path", r"([^/]*)$", 1).rlike(r"^(?i:licen[cs]e|copying)(?:\.[^.]*)?$")).join(own, "file")
     of_dir = named.groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("path"), F.col("licence"))).alias("best")).select(F.col("dir").alias("licence_dir"), F.col("best.licence").alias("licence"))
