@@ -105,4 +105,81 @@ def op10_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filters, op2_license_scans, op3_mixing, op4_benchmark_decontamination, op5_language_id, op6_quality_classifier, op7_chat_formatting, op8_document_fingerprints, op9_simhash_near_dedup, op10_hidden_markov_scores)}
 
-SQL: dict[str, str] = {}
+UPPER, LOWER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _level(groups: str) -> str:
+    """SQL scalar: the prior strength of a table (n, k)."""
+    return f"""(SELECT 1 / rho - 1 FROM (SELECT greatest(0.001, least(0.9, coalesce(CASE WHEN below > 0 THEN (spread - pq * (m - 1)) / below END, 0.1))) AS rho
+      FROM (SELECT m, pq, kk - 2 * p * k1 + p * p * n1 AS spread, pq * (n1 - n2 / n1 - (m - 1)) AS below FROM (SELECT *, p * (1 - p) AS pq FROM
+      (SELECT sum(n) AS n1, sum(k) AS k1, sum(n * n) AS n2, count(*) AS m, sum(k * k / n) AS kk, (sum(k) + 1) / (sum(n) + 2) AS p FROM {groups}))))) """
+
+
+_RULES = "CASE " + " ".join(
+    f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN '{host}{path}'" for _, host, path in sorted(url_filter.RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r[0] != "block"))
+) + " END"
+_VERDICTS = "CASE rule " + " ".join(f"WHEN '{host}{path}' THEN '{verdict}'" for verdict, host, path in url_filter.RULES) + " ELSE CASE WHEN lower_bound >= 0.7 THEN 'allow' ELSE 'block' END END"
+
+OP1 = f"""WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+ page AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), '{UPPER}', '{LOWER_CASE}') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+ hosts AS (SELECT DISTINCT host, split_part(host, '.', -1) AS suffix, array_to_string(list_slice(string_split(host, '.'), greatest(1, len(string_split(host, '.')) - 1), len(string_split(host, '.'))), '.') AS domain FROM page),
+ labelled AS (SELECT host, count(*)::DOUBLE AS n, sum(quality)::DOUBLE AS k FROM page JOIN labels ON doc_id = page_id WHERE quality IN (0, 1) GROUP BY host),
+ domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM labelled JOIN hosts USING (host) GROUP BY ALL),
+ suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
+ whole AS (SELECT (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM suffixes),
+ up_suffix AS (SELECT suffix, (k + {_level('suffixes')} * (SELECT mean FROM whole)) / (n + {_level('suffixes')}) AS m FROM suffixes),
+ up_domain AS (SELECT domain, (k + {_level('domains')} * m) / (n + {_level('domains')}) AS m FROM domains JOIN up_suffix USING (suffix)),
+ prior AS (SELECT h.host, coalesce(l.n, 0) AS n, coalesce(l.k, 0) AS k, coalesce(d.m, s.m, (SELECT mean FROM whole)) AS prior, {_level('labelled')} AS strength FROM hosts h LEFT JOIN labelled l USING (host) LEFT JOIN up_suffix s USING (suffix) LEFT JOIN up_domain d USING (domain)),
+ post AS (SELECT *, (k + strength * prior) / (n + strength) AS posterior_mean FROM prior),
+ bound AS (SELECT *, posterior_mean - 1.645 * sqrt(posterior_mean * (1 - posterior_mean) / (n + strength + 1)) AS lower_bound FROM post),
+ ruled AS (SELECT *, {_RULES} AS rule FROM page JOIN bound USING (host))
+ SELECT page_id, host, path, rule, {_VERDICTS} AS verdict, n::BIGINT AS labelled, round(posterior_mean, 6) AS posterior_mean, round(lower_bound, 6) AS lower_bound FROM ruled"""
+
+_TOKEN = "[\\p{L}\\p{N}]+(?:\\.[\\p{L}\\p{N}]+)*"
+_ANCHOR = "(?i)(^|[^\\p{L}\\p{N}])(" + "|".join(license_scan.ANCHORS) + ")($|[^\\p{L}\\p{N}])"
+_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES.items())
+OP2 = f"""WITH file AS (SELECT doc_id, text, base || CASE WHEN doc_id % 64 = 0 THEN '/LICENSE' WHEN doc_id % 16 = 0 THEN '/d' || (doc_id % 64 // 16) || '/LICENSE.txt' ELSE '/d' || (doc_id % 64 // 16) || '/f' || doc_id || '.txt' END AS path
+   FROM (SELECT *, coalesce(source, 'none') || '/p' || (doc_id // 64) AS base FROM documents)),
+ template AS (SELECT name, token, count(*)::DOUBLE AS tf FROM (SELECT name, unnest(regexp_extract_all(lower(said), '{_TOKEN}')) AS token FROM (VALUES {_TEMPLATES}) t(name, said)) GROUP BY ALL),
+ line AS (SELECT doc_id, n, said FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS said, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents) WHERE regexp_matches(said, '{_ANCHOR}')),
+ token AS (SELECT doc_id, n, token, count(*)::DOUBLE AS tf FROM (SELECT doc_id, n, unnest(regexp_extract_all(lower(said), '{_TOKEN}')) AS token FROM line) GROUP BY ALL),
+ idf AS (SELECT token, ln(1 + (SELECT count(*) FROM documents) / (1 + coalesce(df, 0))) AS idf FROM (SELECT DISTINCT token FROM template) LEFT JOIN (SELECT token, count(DISTINCT doc_id) AS df FROM token GROUP BY token) USING (token)),
+ vector AS (SELECT name, token, tf * idf AS tw FROM template JOIN idf USING (token)), norm AS (SELECT name, sqrt(sum(tw * tw)) AS norm FROM vector GROUP BY name),
+ weight AS (SELECT doc_id, n, token, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM documents)::DOUBLE)) AS w FROM token LEFT JOIN idf USING (token)),
+ length AS (SELECT doc_id, n, sqrt(sum(w * w)) AS line_norm FROM weight GROUP BY ALL),
+ score AS (SELECT doc_id, name, round(sum(w * tw) / any_value(line_norm * norm), 9) AS cosine FROM weight JOIN vector USING (token) JOIN length USING (doc_id, n) JOIN norm USING (name) GROUP BY doc_id, n, name),
+ own AS (SELECT doc_id, name AS licence, cosine FROM score QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, name) = 1),
+ kept AS (SELECT * FROM own WHERE cosine >= 0.6),
+ placed AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM file),
+ of_dir AS (SELECT dir AS licence_dir, licence FROM placed JOIN kept USING (doc_id) WHERE regexp_matches(path, '/LICENSE') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, path) = 1),
+ near AS (SELECT dir, licence AS inherited, licence_dir FROM (SELECT DISTINCT dir FROM placed) p JOIN of_dir o ON p.dir = o.licence_dir OR starts_with(p.dir, o.licence_dir || '/') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(licence_dir) DESC) = 1)
+ SELECT doc_id, path, coalesce(licence, inherited) AS licence, CASE WHEN licence IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis, round(cosine, 6) AS cosine, CASE WHEN licence IS NULL AND inherited IS NOT NULL THEN licence_dir END AS licence_dir
+ FROM placed LEFT JOIN kept USING (doc_id) LEFT JOIN near USING (dir)"""
+
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+OP4 = f"""WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER_CASE}'), '{_WORD}') AS w FROM documents),
+ item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER_CASE}'), '{_WORD}') AS w FROM benchmark),
+ phrase AS (SELECT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s FROM (SELECT *, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM item WHERE len(w) > 0)),
+ place AS (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM doc) JOIN (SELECT DISTINCT size FROM phrase) ON i + size - 1 <= len(w)),
+ found AS (SELECT doc_id, i, size, item_id FROM place JOIN phrase USING (size, s)),
+ hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+ items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM found) GROUP BY doc_id)
+ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(x, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+def _root(text: str) -> str:
+    section = "sha256(array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256(p)), ','))"
+    return f"sha256(array_to_string(list_transform(string_split({text}, chr(10) || chr(10)), lambda s: {section}), ','))"
+
+
+def _like(a: str, b: str) -> str:
+    groups = lambda t: f"list_distinct(regexp_extract_all({t}, '[^ \\n]+(?: +[^ \\n]+){{0,3}}'))"
+    return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN len({groups(a)}) + len({groups(b)}) = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({groups(a)}, {groups(b)})) / (len({groups(a)}) + len({groups(b)})) END"
+
+
+OP8 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+ n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM d),
+ e AS (SELECT *, substr(text, 1, length(text) - length(text) // 2) || substr(next, 1, length(text) // 2) AS edited FROM n)
+ SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, {_root('text')} AS fingerprint, {_root('edited')} AS edited_fingerprint, {_like('text', 'edited')} AS near_edited, {_like('text', 'next')} AS near_next FROM e"""
+
+SQL: dict[str, str] = {"op1_url_filters": OP1, "op2_license_scans": OP2, "op4_benchmark_decontamination": OP4, "op8_document_fingerprints": OP8}
