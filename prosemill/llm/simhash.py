@@ -7,6 +7,11 @@ one of the lesser popcount.  Rows are dealt by that key; within a key, the true
 searched breadth first over the members not yet reached, so a cluster of m members gives m - 1 links and no pairs.
 Links are merged to components by alternating star contraction, all in DataFrames.
 
+A crowded key is split: fingerprints that are linked and agree in one half, but for one bit, differ in at most three
+bits of the other half, so one of its two quarters differs in at most one bit, and the members are indexed once more
+by these quarters and their one-wildcard variants.  No link is lost, and what a task holds at a time has a bound: a key that
+isn't split has under 33 x `most` + 33 members, a split one's part those that share 48 bits but for two.
+
 Null text: no words, fingerprint zero.  Empty tables give empty results.  A null id is never a representative
 unless all ids of its component are null.  Repeated rows come back as often as they came in.
 """
@@ -26,6 +31,10 @@ from .common import LOWER, as_bytes, drop_stored, slices, stored
 
 SEED = 42
 DISTANCE = 3
+#: A half is crowded if more distinct fingerprints than that have it.
+MOST = 512
+#: Crowded keys up to this number are broadcast; more of them are joined by a shuffle.
+MOST_BROADCAST = 500_000
 
 
 def simhash(words: list[bytes], shingle: int = 3) -> int:
@@ -53,14 +62,38 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp bigint")
 
 
+def _halves(fps: DataFrame) -> DataFrame:
+    """(fp, h): both halves of each fingerprint, h being (seg, half)."""
+    halves = F.array(*(F.struct(F.lit(i).cast("long").alias("seg"), F.expr(f"shiftrightunsigned(fp, {32 * i}) & 4294967295L").alias("half")) for i in (0, 1)))
+    return fps.select("fp", F.explode(halves).alias("h"))
+
+
+#: Of a half, its key as it is and its keys with one set bit cleared.
+OWN = "shiftleft(h.seg, 32) | h.half"
+VARIANTS = "transform(filter(sequence(0, 31), p -> (h.half & shiftleft(1L, p)) != 0), p -> shiftleft(h.seg, 32) | (h.half ^ shiftleft(1L, p)))"
+
+
 def signatures(fps: DataFrame) -> DataFrame:
     """(key, fp, own): `own` rows stand under a half as it is, the others under a half with one bit cleared."""
-    halves = F.array(*(F.struct(F.lit(i).cast("long").alias("seg"), F.expr(f"shiftrightunsigned(fp, {32 * i}) & 4294967295L").alias("half")) for i in (0, 1)))
-    cleared = F.expr("filter(sequence(0, 31), p -> (h.half & shiftleft(1L, p)) != 0)")
-    variants = F.expr("transform(bits, p -> struct(shiftleft(h.seg, 32) | (h.half ^ shiftleft(1L, p)) as key, false as own))")
-    own = F.expr("array(struct(shiftleft(h.seg, 32) | h.half as key, true as own))")
-    rows = fps.select("fp", F.explode(halves).alias("h")).withColumn("bits", cleared)
-    return rows.select("fp", F.explode(F.concat(own, variants)).alias("s")).select("s.key", "fp", "s.own")
+    rows = F.expr(f"concat(array(struct({OWN} as key, true as own)), transform({VARIANTS}, k -> struct(k as key, false as own)))")
+    return _halves(fps).select("fp", F.explode(rows).alias("s")).select("s.key", "fp", "s.own")
+
+
+def crowded(fps: DataFrame, most: int) -> DataFrame:
+    """(key): the keys that a half which more than `most` fingerprints have stands under; counted before the variants are made."""
+    many = _halves(fps).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    return many.select(F.explode(F.expr(f"concat(array({OWN}), {VARIANTS})")).alias("key")).distinct()
+
+
+def split_crowded(rows: DataFrame, keys: DataFrame, broadcast: bool) -> DataFrame:
+    """Signatures with their keys 18 bits longer: zeros, or for crowded keys the quarters of the other half, and each
+    quarter with one set bit cleared."""
+    quarter = "(shiftrightunsigned(fp, cast(32 * (1 - shiftright(key, 32)) as int) + 16 * j) & 65535L)"
+    masks = f"concat(array(0L), transform(filter(sequence(0, 15), p -> ({quarter} & shiftleft(1L, p)) != 0), p -> shiftleft(1L, p)))"
+    parts = f"flatten(transform(array(0, 1), j -> transform({masks}, m -> 131072L | shiftleft(cast(j as bigint), 16) | ({quarter} ^ m))))"
+    marked = rows.join(keys.select("key", F.lit(True).alias("many")).hint("broadcast" if broadcast else "merge"), "key", "left")
+    part = F.explode(F.expr(f"if(many is null, array(0L), {parts})"))
+    return marked.select("key", "fp", "own", part.alias("part")).select(F.expr("shiftleft(key, 18) | part").alias("key"), "fp", "own")
 
 
 def _forest(fps: np.ndarray, own: np.ndarray, distance: int) -> tuple[list, list]:
@@ -84,11 +117,13 @@ def _forest(fps: np.ndarray, own: np.ndarray, distance: int) -> tuple[list, list
     return left, right
 
 
-def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b): verified links that connect what lies within `distance` bits of each other; fps has distinct fingerprints.
+def links(fps: DataFrame, distance: int = DISTANCE, most: int = MOST) -> DataFrame:
+    """(a, b): verified links that connect what lies within `distance` bits, 3 at most, of each other; fps has distinct fingerprints.
 
-    A task holds one key's members at a time, 17 bytes each.
+    A task holds one key's members at a time, 17 bytes each; crowded keys are split.
     """
+    if distance > DISTANCE:
+        raise ValueError(f"signatures meet up to {DISTANCE} bits")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -118,7 +153,9 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             yield solve(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     spark = fps.sparkSession
-    dealt = signatures(fps).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
+    keys = stored(crowded(fps, most), "crowded-keys")
+    rows = split_crowded(signatures(fps), keys, keys.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST)
+    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "a bigint, b bigint").where("a != b").distinct()
 
 

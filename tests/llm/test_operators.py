@@ -275,6 +275,31 @@ def test_simhash_links_of_random_clusters(spark):
     assert {frozenset(k for k in got if got[k] == v) for v in got.values()} == {frozenset(k for k in want if want[k] == v) for v in want.values()}
 
 
+@pytest.mark.parametrize(("low", "broadcast"), [(0, True), (0xDEADBEEF, True), ((1 << 32) - 1, False)])
+def test_simhash_splits_crowded_keys(spark, monkeypatch, low, broadcast):
+    """Most fingerprints share a half, but for a bit at most; some are linked, most aren't."""
+    if not broadcast:
+        monkeypatch.setattr(simhash, "MOST_BROADCAST", -1)
+    rng = random.Random(low)
+    fps = set()
+    for high in [rng.getrandbits(32) for _ in range(500)] + [0, (1 << 32) - 1]:
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            fps.add(high << 32 | low ^ rng.choice([0, 0, 1 << rng.randrange(32)]))
+            high ^= sum(1 << b for b in rng.sample(range(32), rng.choice([1, 2, 3, 4])))
+    fps |= {low << 32 | f >> 32 for f in rng.sample(sorted(fps), 200)}
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in sorted(fps)]
+    df = spark.createDataFrame(signed, "fp bigint")
+    keys = simhash.crowded(df, 16)
+    assert keys.count() >= 2
+    counts = simhash.split_crowded(simhash.signatures(df), keys, broadcast).groupBy("key").count()
+    assert counts.agg(F.max("count")).first()[0] < 33 * 17  # the crowded keys have hundreds
+    edges = [(r["a"], r["b"]) for r in simhash.links(df, most=16).collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in edges)
+    roots = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = brute_components({s: f for (s,), f in zip(signed, sorted(fps), strict=True)})
+    assert {s: roots.get(s, s) for s in want} == want
+
+
 # 10: hidden Markov scores
 
 
