@@ -8,8 +8,10 @@ at run starts.  All phrases search backwards at once; occurrences are located by
 their word ranges merge to removal spans.
 
 Phrases are the windows of `window` consecutive words of an item; an item with fewer words, but not none, is one
-phrase.  The benchmark reaches the tasks in blocks of items of at most `block_bytes` of text each, one pass per
-block, so a broadcast has a fixed bound whatever the benchmark's size.  No shuffle: the output has one row per row.
+phrase.  The benchmark reaches the driver and the tasks in blocks of items of `block_bytes` of text each (an item isn't
+cut), `pass_blocks` of them at a time.  A greater benchmark takes several passes over the texts, each written to the
+shared folder, which add up each row's spans; so what is held or broadcast at once has a fixed bound whatever the
+benchmark's size.  No shuffle: the output has one row per row.
 
 Null or wordless text: no words, no hit.  Null or wordless items are never found.  A null item id counts as ''.
 Items that repeat an id count once.  An empty benchmark gives rows without hits.
@@ -26,10 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, as_bytes, slices
+from .common import ALNUM, as_bytes, slices, stored
 
 WINDOW = 10
 SAMPLE = 8
+SHARD_BYTES = 32 << 20
+#: Phrases of a block take about 40 times its text.
+BLOCK_BYTES = 2 << 20
+PASS_BLOCKS = 4
+FOUND = "id {}, n_words bigint, n_hit bigint, span_starts array<bigint>, span_ends array<bigint>, items array<string>"
 #: Stands between texts; no word equals it, as words have neither ASCII punctuation nor white space.
 GAP = b" - "
 
@@ -189,52 +196,73 @@ def scan_shard(texts: list[list[int]], phrases: Phrases) -> list[tuple[int, int,
     return out
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """The benchmark's items in blocks of about block_bytes; rows arrive one partition at a time."""
+def passes_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int, pass_blocks: int) -> Iterator[list[list[tuple[str, bytes]]]]:
+    """The benchmark's items in blocks of about block_bytes, by `pass_blocks` blocks; rows arrive one partition at a time."""
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).alias("t")).where("t is not null")
     out: list[list[tuple[str, bytes]]] = [[]]
     size = 0
     for r in rows.toLocalIterator():
         text = r["t"].encode()
         if size and size + len(text) > block_bytes:
+            if len(out) == pass_blocks:
+                yield out
+                out = []
             out.append([])
             size = 0
         out[-1].append((r["i"], text))
         size += len(text)
-    return out
+    yield out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = 32 << 20, block_bytes: int = 16 << 20,
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, n_words, n_hit, span_starts, span_ends, items): per row the merged word ranges [start, end) of benchmark
     phrases and the ids, as sorted strings, of the items they are of."""
-    return _scan(docs, benchmark, window, shard_bytes, block_bytes, id_col, text_col, item_col, item_text_col, False)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = FOUND.format(docs.schema[id_col].dataType.simpleString())
+    passes = passes_of(benchmark, item_col, item_text_col, block_bytes, pass_blocks)
+    blocks = next(passes)
+    for following in passes:
+        rows = stored(_scan(rows, 1, blocks, window, shard_bytes, found + ", text string"), "decontam-pass").select("id", "text", "n_words", "n_hit", "span_starts", "span_ends", "items")
+        blocks = following
+    return _scan(rows, 1, blocks, window, shard_bytes, found)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with their columns, that hold no benchmark phrase; see decontaminate()."""
+    at = docs.columns.index(text_col)
+    passes = passes_of(benchmark, "item_id", "text", block_bytes, pass_blocks)
+    blocks = next(passes)
+    for following in passes:
+        docs = stored(_scan(docs, at, blocks, window, shard_bytes, None), "decontam-pass")
+        blocks = following
+    return _scan(docs, at, blocks, window, shard_bytes, None)
 
 
-def _scan(docs, benchmark, window, shard_bytes, block_bytes, id_col, text_col, item_col, item_text_col, keep_clean):  # noqa: ANN001, ANN202
-    kind = docs.schema[id_col].dataType.simpleString()
-    spark = docs.sparkSession
-    rows = docs if keep_clean else docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    at = docs.columns.index(text_col) if keep_clean else 1
-    blocks = [spark.sparkContext.broadcast(Phrases(x, window)) for x in blocks_of(benchmark, item_col, item_text_col, block_bytes)]
+def _scan(rows: DataFrame, at: int, items: list, window: int, shard_bytes: int, found: str | None) -> DataFrame:
+    """One pass.  With a schema `found`: each row's id, what this pass and the passes before found, and the text if the
+    schema has it; without: the rows that hold no phrase.  The text is the column `at`, the results so far follow it."""
+    blocks = [rows.sparkSession.sparkContext.broadcast(Phrases(x, window)) for x in items]
+    later = found is not None and len(rows.columns) > 2
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> Iterator[pa.RecordBatch]:
-            results = None
+            results = before if later else None
             for i, block in enumerate(blocks):
-                found = scan_shard([x[i] for x in shard], block.value)
-                results = found if results is None else [_merged(x, y) for x, y in zip(results, found, strict=True)]
+                got = scan_shard([x[i] for x in shard], block.value)
+                results = got if results is None else [_merged(x, y) for x, y in zip(results, got, strict=True)]
             begin = 0
             for batch in held:
                 part = results[begin : begin + batch.num_rows]
                 begin += batch.num_rows
-                if keep_clean:
+                if found is None:
                     yield batch.filter(pa.array([x[1] == 0 for x in part], pa.bool_()))
                     continue
                 columns = zip(zip(*part, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string())), strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in columns)], names=["id", "n_words", "n_hit", "span_starts", "span_ends", "items"])
+                names = ["id", "n_words", "n_hit", "span_starts", "span_ends", "items", "text"]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in columns), *batch.columns[1:]], names=names[: 5 + batch.num_columns])
 
-        held, shard, size = [], [], 0
+        held, shard, before, size = [], [], [], 0
         (gap,) = GAP.split()
         vocabularies = [block.value.vocabulary | {gap: -1} for block in blocks]
         for batch in slices(batches, at):
@@ -245,15 +273,17 @@ def _scan(docs, benchmark, window, shard_bytes, block_bytes, id_col, text_col, i
                 symbols = np.fromiter(map(vocabulary.get, joined, repeat(0)), np.int32, len(joined))
                 pieces.append([x[1:] if i else x for i, x in enumerate(np.split(symbols, np.flatnonzero(symbols == -1)))])
             shard += zip(*pieces, strict=True)
-            held.append(batch if keep_clean else batch.select([0]))
+            if later:
+                before += zip(*(c.to_pylist() for c in batch.columns[2:7]), strict=True)
+            held.append(batch if found is None else batch.select([0, 1] if "text" in found else [0]))
             size += sum(len(t or b"") for t in texts)
             if size >= shard_bytes:
                 yield from flush()
-                held, shard, size = [], [], 0
+                held, shard, before, size = [], [], [], 0
         if shard:
             yield from flush()
 
-    return rows.mapInArrow(run, docs.schema if keep_clean else f"id {kind}, n_words bigint, n_hit bigint, span_starts array<bigint>, span_ends array<bigint>, items array<string>")
+    return rows.mapInArrow(run, rows.schema if found is None else found)
 
 
 def _merged(x: tuple, y: tuple) -> tuple:
@@ -277,8 +307,3 @@ def without_spans(text: str, starts: list[int], ends: list[int]) -> str:
         out.append(data[at : places[a][0]])
         at = places[b - 1][1]
     return b"".join([*out, data[at:]]).decode()
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with their columns, that hold no benchmark phrase; see decontaminate()."""
-    return _scan(docs, benchmark, window, 32 << 20, 16 << 20, id_col, text_col, "item_id", "text", True)

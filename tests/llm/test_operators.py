@@ -140,12 +140,22 @@ def test_fm_index_against_brute_force(texts, items, window):
 def test_decontamination_blocks_and_spans(spark):
     docs = spark.createDataFrame([(1, "x A-b, c d e f g h i j k y"), (2, "nichts"), (3, None)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "b c d e f g h i j k"), (3, "kurz"), (4, None), (5, "")], "item_id bigint, text string")
-    for block in (1, 1 << 20):
-        r = table(decontam.decontaminate(docs, bench, block_bytes=block), "id")
+    for block, blocks in ((1, 1), (1, 2), (1, 9), (1 << 20, 1)):
+        r = table(decontam.decontaminate(docs, bench, block_bytes=block, pass_blocks=blocks), "id")
         assert (r[1]["n_words"], r[1]["n_hit"], r[1]["span_starts"], r[1]["span_ends"], r[1]["items"]) == (13, 11, [1], [12], ["1", "2"])
         assert r[2]["n_hit"] == r[3]["n_words"] == 0
+        assert r[3]["n_hit"] == 0 and r[3]["items"] == []
+        assert sorted(x["doc_id"] for x in decontam.clean(docs, bench, block_bytes=block, pass_blocks=blocks).collect()) == [2, 3]
     assert decontam.without_spans("x A-b, c d e f g h i j k y", [1], [12]) == "x  y"
-    assert sorted(x["doc_id"] for x in decontam.clean(docs, bench).collect()) == [2, 3]
+
+
+def test_decontamination_passes_agree(spark):
+    """Of the whole tables, one pass and many give the same rows."""
+    docs, bench = (spark.read.parquet(f"{SMALL}/{x}.parquet") for x in ("documents", "benchmark"))
+    one, many = (sorted(map(tuple, decontam.decontaminate(docs, bench, block_bytes=size, pass_blocks=2).collect()), key=repr) for size in (1 << 20, 1000))
+    assert one == many and any(r[2] for r in one)
+    size = bench.select(F.sum(F.length("text"))).first()[0]
+    assert size > 4 * 1000  # so that there are several passes
 
 
 # 5 and 6: compression classifiers
