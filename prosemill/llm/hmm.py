@@ -306,7 +306,7 @@ def _with_classes(texts: DataFrame, shared) -> DataFrame:  # noqa: ANN001
     return rows.mapInArrow(run, f"block bigint, ids {kind}, held array<boolean>, sizes array<bigint>, numbers binary, classes binary")
 
 
-def _unpacked(ids: list, sizes: list, numbers: bytes, classes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(ids: list, sizes: list, numbers: bytes, classes: bytes | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers; class sequence with ends; sizes with ends."""
     numbers, kinds = np.frombuffer(numbers, np.uint32), np.frombuffer(classes, np.uint16)
     sizes = np.array(sizes, np.int64)
@@ -315,25 +315,26 @@ def _unpacked(ids: list, sizes: list, numbers: bytes, classes: bytes) -> tuple[n
     return numbers, sequence, sizes + 1
 
 
-def _iteration(texts: DataFrame, chain: Chain) -> Chain:
+def _iteration(texts: DataFrame, chain: Chain, classes: Classes) -> Chain:
     """One Baum-Welch iteration over all training texts: partial sums per partition, summed by Spark."""
     size = len(chain.start) * (1 + len(chain.start) + len(chain.emit))
-    shared = texts.sparkSession.sparkContext.broadcast(chain)
+    shared = texts.sparkSession.sparkContext.broadcast((chain, classes))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, seen = np.zeros(size), False
+        (chain, classes), sums, seen = shared.value, np.zeros(size), False
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, held, sizes, numbers, classes = (batch.column(c)[row].as_py() for c in range(5))
-                _, sequence, sizes = _unpacked(ids, sizes, numbers, classes)
+                ids, held, sizes, numbers, words, endings = (batch.column(c)[row].as_py() for c in range(6))
+                kinds = classes.of(np.frombuffer(words, np.uint64), np.frombuffer(endings, np.uint16)).astype(np.uint16)
+                _, sequence, sizes = _unpacked(ids, sizes, numbers, kinds)
                 learn = ~np.array(held, bool)
                 if learn.any():
-                    sums += expected(shared.value, Pieces(sequence[np.repeat(learn, sizes)], sizes[learn]))
+                    sums += expected(chain, Pieces(sequence[np.repeat(learn, sizes)], sizes[learn]))
                     seen = True
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(sums)], names=["i", "x"])
 
-    rows = texts.select("ids", "held", "sizes", "numbers", "classes").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    rows = texts.select("ids", "held", "sizes", "numbers", "words", "endings").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     sums = np.zeros(size)
     for r in rows:
         sums[r["i"]] = r["x"]
@@ -351,7 +352,7 @@ def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, ha
     answers = stored(_answers(table.where("kind = 'words'"), own, hashed), "hmm-answers", "kind")
     frequent = _most_frequent(answers, own)
     classes = Classes(frequent[0].view(np.uint64), own, hashed)
-    texts = _with_classes(table.where("kind = 'texts'"), spark.sparkContext.broadcast(classes))
+    texts = table.where("kind = 'texts'")
     kinds = np.zeros((2, classes.size), np.int64)
     kinds[:, 1 : 1 + frequent.shape[1]] = [np.ones(frequent.shape[1]), frequent[1]]
     for r in answers.where("kind = 'totals'").select("reply").toLocalIterator():
@@ -363,9 +364,9 @@ def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, ha
     sample = rows.where("not held").join(F.broadcast(picked.select("id").distinct()), "id", "left_semi").select("id", middle.alias("text")).orderBy("id", "text").limit(sample_docs).collect()
     chain = sample_start([classes.of_words((r["text"] or "").encode().translate(LOWER).split(), hashed) for r in sample], states, classes.size, rounds=12)
 
-    learned = table.where("kind = 'texts'").select(F.explode("held").alias("held")).where("not held").count()
+    learned = texts.select(F.explode("held").alias("held")).where("not held").count()
     for _ in range(iterations):
-        chain = _iteration(texts, chain)
+        chain = _iteration(texts, chain, classes)
 
     ends, n, v = learned, int(kinds[1].sum()) + learned, int(kinds[0].sum()) + (learned > 0)
     below = np.log10(n + 0.1 * (v + 1))
@@ -398,4 +399,4 @@ def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, ha
 
     empty = pa.table({k: pa.array([], t) for k, t in (("id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
     schema = f"id {id_kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return texts.groupBy("block").cogroup(answers.where("kind = 'block'").select("block", "bucket", "reply").groupBy("block")).applyInArrow(run, schema)
+    return _with_classes(texts, spark.sparkContext.broadcast(classes)).groupBy("block").cogroup(answers.where("kind = 'block'").select("block", "bucket", "reply").groupBy("block")).applyInArrow(run, schema)
