@@ -7,9 +7,10 @@ one slot for words not seen; so the vocabulary may grow without bound while the
 
     P(text) = [sum over state paths of  start * prod A * B(class)] * prod P(word | class)
 
-Passes: (1) texts become blocks of word numbers plus, per block and bucket of word hashes, the block's words with
-their training counts; (2) each bucket sums its words' counts over all blocks and answers each block, and gives the endings'
-totals and its `own` most frequent words, of which the driver, bucket by bucket, keeps the greatest; (3) Baum-Welch: every iteration sums expected counts over all blocks, one set of partial sums per
+Passes: (0) words are counted, in each task by a table of bounded size, and over all tasks by a shuffle, for the own
+words; (1) texts become blocks of word numbers plus, per block and bucket of word hashes, the block's words with
+their training counts; (2) each bucket sums its words' counts over all blocks and answers each block, and gives the
+classes' totals; (3) Baum-Welch: every iteration sums expected counts over all blocks, one set of partial sums per
 partition; (4) each block meets its answers and is scored by the scaled forward recursion.  Nothing of the
 vocabulary is broadcast or collected.  Words are keyed by their 64-bit XXH64.
 
@@ -23,7 +24,7 @@ as they occur.  Without training texts every token is unseen and the chain is un
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import count
@@ -40,6 +41,8 @@ from .common import LOWER, as_bytes, slices, stored
 #: Tokens in a piece of a text that is worked on at once with the like pieces of others.
 WIDTH = 128
 END = 0
+#: Distinct words that a task counts before it passes its counts on.
+MOST_COUNTED = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -145,33 +148,36 @@ def reestimated(sums: np.ndarray, chain: Chain) -> Chain:
     return Chain((first + 0.1) / (first + 0.1).sum(), (steps + 0.1) / (steps + 0.1).sum(axis=1, keepdims=True), emitted / emitted.sum(axis=0))
 
 
-def ending(word: bytes, hashed: int) -> int:
-    """Which of the `hashed` endings a word has: by its last three bytes before trailing ASCII punctuation."""
-    return zlib.crc32(word.rstrip(b"!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~")[-3:] + word[-1:]) % hashed
+def ending(word: bytes, own: int, hashed: int) -> int:
+    """The class of a word without a class of its own: by its last three bytes before trailing ASCII punctuation."""
+    return 1 + own + zlib.crc32(word.rstrip(b"!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~")[-3:] + word[-1:]) % hashed
 
 
-class Classes:
-    """The end is class 0, own words have the classes from 1 on, and after `own` of those come the endings."""
+def frequent_words(rows: DataFrame, own: int, most: int = MOST_COUNTED) -> list[bytes]:
+    """The `own` words that occur most in the rows (id, held, text) that aren't held out; of equal counts the least bytes."""
 
-    def __init__(self, frequent: np.ndarray, own: int, hashed: int):
-        order = np.argsort(frequent)
-        self.keys, self.number, self.own, self.size = frequent[order], order + 1, own, 1 + own + hashed
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
 
-    def of(self, keys: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        rest = 1 + self.own + endings.astype(np.int64)
-        if not len(self.keys):
-            return rest
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.number[at], rest)
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
 
-    def of_words(self, words: list[bytes], hashed: int) -> np.ndarray:
-        keys = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        return self.of(keys, np.fromiter((ending(w, hashed) for w in words), np.uint16, len(words)))
+        for batch in slices(batches, 0):
+            for text in as_bytes(batch.column(0)):
+                counts.update((text or b"").translate(LOWER).split())
+                if len(counts) >= most:
+                    yield flush()
+                    counts.clear()
+        yield flush()
 
+    counted = rows.where("not held").select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return [bytes(r["word"]) for r in counted.orderBy(F.col("n").desc(), "word").limit(own).collect()]
 
-def sample_start(rows: list[np.ndarray], states: int, size: int, rounds: int, seed: int = 7) -> Chain:
-    """From the class sequences of sampled texts: states from a mixture of unigrams, refined by Baum-Welch on the sample."""
-    rows = [np.append(r, END) for r in rows] or [np.zeros(1, np.int64)]
+
+def sample_start(texts: list[list[bytes]], classes: dict[bytes, int], states: int, own: int, hashed: int, rounds: int, seed: int = 7) -> Chain:
+    """States from a mixture of unigrams, refined by Baum-Welch on the sample."""
+    size = 1 + own + hashed
+    rows = [np.array([classes.get(w) or ending(w, own, hashed) for w in t] + [END], np.int64) for t in texts] or [np.zeros(1, np.int64)]
     bags = np.stack([np.bincount(r, minlength=size) for r in rows]).astype(float)
     rng = np.random.default_rng(seed)
     share = (bags.sum(axis=0) + 0.5) / (bags.sum() + 0.5 * size)
@@ -202,22 +208,23 @@ def _pack(array: np.ndarray, kind: type) -> bytes:
     return np.ascontiguousarray(array, kind).tobytes()
 
 
-def _blocks(rows: DataFrame, hashed: int, buckets: int, block_words: int) -> DataFrame:
-    """kind 'texts': a block's texts as word numbers, and its words' hashes; kind 'words': a block's words of a bucket, by hash."""
+def _blocks(rows: DataFrame, classes, own: int, hashed: int, buckets: int, block_words: int) -> DataFrame:  # noqa: ANN001
+    """kind 'texts': a block's texts as word numbers; kind 'words': a block's words of a bucket, by hash."""
     id_kind = rows.schema["id"].dataType.simpleString()
-    schema = f"kind string, block bigint, bucket int, ids array<{id_kind}>, held array<boolean>, sizes array<bigint>, numbers binary, words binary, counts binary, endings binary"
+    schema = f"kind string, block bigint, bucket int, ids array<{id_kind}>, held array<boolean>, sizes array<bigint>, words binary, counts binary, classes binary"
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(rows.schema["id"].dataType)
-    target = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("numbers", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("endings", pa.binary())])
+    target = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("words", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = classes.value
         block = TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
             words = list(number)
             keys = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            kinds = np.fromiter((ending(w, hashed) for w in words), np.uint16, len(words))
+            kinds = np.fromiter((known.get(w) or ending(w, own, hashed) for w in words), np.uint16, len(words))
             bucket = (keys % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((keys, bucket))
             place = np.empty(len(words), np.int64)
@@ -226,11 +233,11 @@ def _blocks(rows: DataFrame, hashed: int, buckets: int, block_words: int) -> Dat
             learn = np.repeat(~np.array(held, bool), sizes)
             counts = np.bincount(numbers[learn], minlength=len(words))
             keys, kinds, bucket = keys[order], kinds[order], bucket[order]
-            out = [("texts", block, -1, ids, held, sizes, _pack(numbers, np.uint32), _pack(keys, np.uint64), None, _pack(kinds, np.uint16))]
+            out = [("texts", block, -1, ids, held, sizes, _pack(numbers, np.uint32), None, _pack(kinds, np.uint16))]
             edge = np.searchsorted(bucket, np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(edge)).tolist():
                 at = slice(edge[b], edge[b + 1])
-                out.append(("words", block, b, None, None, None, None, _pack(keys[at], np.uint64), _pack(counts[at], np.uint32), _pack(kinds[at], np.uint16)))
+                out.append(("words", block, b, None, None, None, _pack(keys[at], np.uint64), _pack(counts[at], np.uint32), _pack(kinds[at], np.uint16)))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), target, strict=True)], schema=target)
 
         def fresh() -> None:
@@ -258,83 +265,54 @@ def _blocks(rows: DataFrame, hashed: int, buckets: int, block_words: int) -> Dat
     return rows.mapInArrow(run, schema)
 
 
-def _answers(words: DataFrame, own: int, hashed: int) -> DataFrame:
-    """Per bucket: for each block its words' counts over all blocks (kind 'block'), the endings' numbers of distinct
-    and of all training words (kind 'totals'), and hashes, counts and endings of the `own` most frequent words (kind 'frequent')."""
+def _answers(words: DataFrame, classes: int) -> DataFrame:
+    """Per bucket: for each block its words' counts over all blocks (kind 'block'), and the classes' numbers of
+    distinct and of all training words (kind 'totals')."""
 
     def run(group: pa.Table) -> pa.Table:
         blocks = group.column("block").to_pylist()
-        parts = [[np.frombuffer(x, kind) for x in group.column(name).to_pylist()] for name, kind in (("words", np.uint64), ("counts", np.uint32), ("endings", np.uint16))]
+        parts = [[np.frombuffer(x, kind) for x in group.column(name).to_pylist()] for name, kind in (("words", np.uint64), ("counts", np.uint32), ("classes", np.uint16))]
         keys, counts, kinds = (np.concatenate(x) for x in parts)
         distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
         total = np.bincount(of, weights=counts, minlength=len(distinct)).astype(np.int64)  # exact below 2**53
         cuts = np.cumsum([len(x) for x in parts[0]])[:-1]
         replies = [_pack(x, np.int64) for x in np.split(total[of], cuts)]
         kind = kinds[first]
-        sums = np.stack([np.bincount(kind[total > 0], minlength=hashed), np.bincount(kind, weights=total, minlength=hashed).astype(np.int64)])
-        top = np.lexsort((distinct, -total))[:own]
-        top = top[total[top] > 0]
-        frequent = np.stack([distinct[top].view(np.int64), total[top], kind[top].astype(np.int64)])
+        sums = np.stack([np.bincount(kind[total > 0], minlength=classes), np.bincount(kind, weights=total, minlength=classes).astype(np.int64)])
         bucket = group.column("bucket")[0].as_py()
-        return pa.table({"kind": ["block"] * len(blocks) + ["totals", "frequent"], "block": pa.array([*blocks, -1, -1], pa.int64()), "bucket": pa.array([bucket] * (len(blocks) + 2), pa.int32()), "reply": pa.array([*replies, _pack(sums, np.int64), _pack(frequent, np.int64)], pa.binary())})
-
-    return words.select("bucket", "block", "words", "counts", "endings").groupBy("bucket").applyInArrow(run, "kind string, block bigint, bucket int, reply binary")
+        return pa.table({"kind": ["block"] * len(blocks) + ["totals"], "block": pa.array([*blocks, -1], pa.int64()), "bucket": pa.array([bucket] * (len(blocks) + 1), pa.int32()), "reply": pa.array([*replies, _pack(sums, np.int64)], pa.binary())})
 
+    return words.select("bucket", "block", "words", "counts", "classes").groupBy("bucket").applyInArrow(run, "kind string, block bigint, bucket int, reply binary")
 
-def _most_frequent(answers: DataFrame, own: int) -> np.ndarray:
-    """Hashes, counts and endings of the `own` most frequent training words; of equal counts the least hash first."""
-    best = np.zeros((3, 0), np.int64)
-    for r in answers.where("kind = 'frequent'").select("reply").toLocalIterator():
-        best = np.concatenate([best, np.frombuffer(r["reply"], np.int64).reshape(3, -1)], axis=1)
-        best = best[:, np.lexsort((best[0].view(np.uint64), -best[1]))[:own]]
-    return best
-
-
-def _with_classes(texts: DataFrame, shared) -> DataFrame:  # noqa: ANN001
-    """Blocks of texts with their words' classes in place of hashes and endings."""
-    kind = texts.schema["ids"].dataType.simpleString()
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                words, endings = (np.frombuffer(row.column(c)[0].as_py(), k) for c, k in ((5, np.uint64), (6, np.uint16)))
-                classes = _pack(shared.value.of(words, endings), np.uint16)
-                yield pa.RecordBatch.from_arrays([*row.columns[:5], pa.array([classes], pa.binary())], names=["block", "ids", "held", "sizes", "numbers", "classes"])
 
-    rows = texts.select("block", "ids", "held", "sizes", "numbers", "words", "endings")
-    return rows.mapInArrow(run, f"block bigint, ids {kind}, held array<boolean>, sizes array<bigint>, numbers binary, classes binary")
-
-
-def _unpacked(ids: list, sizes: list, numbers: bytes, classes: bytes | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(ids: list, sizes: list, words: bytes, classes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers; class sequence with ends; sizes with ends."""
-    numbers, kinds = np.frombuffer(numbers, np.uint32), np.frombuffer(classes, np.uint16)
+    numbers, kinds = np.frombuffer(words, np.uint32), np.frombuffer(classes, np.uint16)
     sizes = np.array(sizes, np.int64)
     sequence = np.full(len(numbers) + len(ids), END, np.int32)
     sequence[np.arange(len(numbers)) + np.repeat(np.arange(len(ids)), sizes)] = kinds[numbers]
     return numbers, sequence, sizes + 1
 
 
-def _iteration(texts: DataFrame, chain: Chain, classes: Classes) -> Chain:
+def _iteration(texts: DataFrame, chain: Chain) -> Chain:
     """One Baum-Welch iteration over all training texts: partial sums per partition, summed by Spark."""
     size = len(chain.start) * (1 + len(chain.start) + len(chain.emit))
-    shared = texts.sparkSession.sparkContext.broadcast((chain, classes))
+    shared = texts.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (chain, classes), sums, seen = shared.value, np.zeros(size), False
+        sums, seen = np.zeros(size), False
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, held, sizes, numbers, words, endings = (batch.column(c)[row].as_py() for c in range(6))
-                kinds = classes.of(np.frombuffer(words, np.uint64), np.frombuffer(endings, np.uint16)).astype(np.uint16)
-                _, sequence, sizes = _unpacked(ids, sizes, numbers, kinds)
+                ids, held, sizes, words, classes = (batch.column(c)[row].as_py() for c in range(5))
+                _, sequence, sizes = _unpacked(ids, sizes, words, classes)
                 learn = ~np.array(held, bool)
                 if learn.any():
-                    sums += expected(chain, Pieces(sequence[np.repeat(learn, sizes)], sizes[learn]))
+                    sums += expected(shared.value, Pieces(sequence[np.repeat(learn, sizes)], sizes[learn]))
                     seen = True
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(sums)], names=["i", "x"])
 
-    rows = texts.select("ids", "held", "sizes", "numbers", "words", "endings").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    rows = texts.select("ids", "held", "sizes", "words", "classes").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     sums = np.zeros(size)
     for r in rows:
         sums[r["i"]] = r["x"]
@@ -347,30 +325,27 @@ def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, ha
     base_score that of the add-0.1 unigram model, score that of the hidden Markov model."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(True)).alias("held"), F.col(text_col).alias("text"))
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = stored(_blocks(rows, hashed, buckets, block_words), "hmm-blocks", "kind")
-    answers = stored(_answers(table.where("kind = 'words'"), own, hashed), "hmm-answers", "kind")
-    frequent = _most_frequent(answers, own)
-    classes = Classes(frequent[0].view(np.uint64), own, hashed)
-    texts = table.where("kind = 'texts'")
-    kinds = np.zeros((2, classes.size), np.int64)
-    kinds[:, 1 : 1 + frequent.shape[1]] = [np.ones(frequent.shape[1]), frequent[1]]
-    for r in answers.where("kind = 'totals'").select("reply").toLocalIterator():
-        kinds[:, 1 + own :] += np.frombuffer(r["reply"], np.int64).reshape(2, hashed)
-    np.subtract.at(kinds, (slice(None), 1 + own + frequent[2]), np.stack([np.ones(frequent.shape[1], np.int64), frequent[1]]))
-
+    classes_n = 1 + own + hashed
+    own_classes = {w: i + 1 for i, w in enumerate(frequent_words(rows, own))}
     picked = rows.where("not held and text is not null").select("id", F.md5(F.col("id").cast("string").cast("binary")).alias("k")).orderBy("k", "id").limit(sample_docs)
     middle = F.expr(f"substring(text, greatest(1, cast(length(text) / 2 - {sample_chars // 2} as int)), {sample_chars})")
     sample = rows.where("not held").join(F.broadcast(picked.select("id").distinct()), "id", "left_semi").select("id", middle.alias("text")).orderBy("id", "text").limit(sample_docs).collect()
-    chain = sample_start([classes.of_words((r["text"] or "").encode().translate(LOWER).split(), hashed) for r in sample], states, classes.size, rounds=12)
+    chain = sample_start([(r["text"] or "").encode().translate(LOWER).split() for r in sample], own_classes, states, own, hashed, rounds=12)
 
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table = stored(_blocks(rows, spark.sparkContext.broadcast(own_classes), own, hashed, buckets, block_words), "hmm-blocks", "kind")
+    texts = table.where("kind = 'texts'")
+    answers = stored(_answers(table.where("kind = 'words'"), classes_n), "hmm-answers", "kind")
+    kinds = np.zeros((2, classes_n), np.int64)
+    for r in answers.where("kind = 'totals'").select("reply").toLocalIterator():
+        kinds += np.frombuffer(r["reply"], np.int64).reshape(2, classes_n)
     learned = texts.select(F.explode("held").alias("held")).where("not held").count()
     for _ in range(iterations):
-        chain = _iteration(texts, chain, classes)
+        chain = _iteration(texts, chain)
 
     ends, n, v = learned, int(kinds[1].sum()) + learned, int(kinds[0].sum()) + (learned > 0)
     below = np.log10(n + 0.1 * (v + 1))
-    within = np.where(np.arange(classes.size) <= own, np.nan, np.log10(kinds[1] + 0.1 * (kinds[0] + 1)))  # nan: one word, probability 1
+    within = np.where(np.arange(classes_n) <= own, np.nan, np.log10(kinds[1] + 0.1 * (kinds[0] + 1)))  # nan: one word, probability 1
     fit = spark.sparkContext.broadcast((chain, within))
     id_kind = rows.schema["id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
@@ -384,8 +359,8 @@ def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, ha
         replies = reply.column("reply").to_pylist()
         counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(replies[i], np.int64) for i in by.tolist())])
         for row in range(block.num_rows):
-            ids, held, sizes, numbers, kinds = (block.column(c)[row].as_py() for c in ("ids", "held", "sizes", "numbers", "classes"))
-            numbers, sequence, with_end = _unpacked(ids, sizes, numbers, kinds)
+            ids, held, sizes, words, kinds = (block.column(c)[row].as_py() for c in ("ids", "held", "sizes", "words", "classes"))
+            numbers, sequence, with_end = _unpacked(ids, sizes, words, kinds)
             word_class = np.frombuffer(kinds, np.uint16).astype(np.int64)
             smooth = np.log10(counts + 0.1)
             inside = np.where(np.isnan(within[word_class]), 0.0, smooth - within[word_class])
@@ -399,4 +374,4 @@ def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, ha
 
     empty = pa.table({k: pa.array([], t) for k, t in (("id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
     schema = f"id {id_kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return _with_classes(texts, spark.sparkContext.broadcast(classes)).groupBy("block").cogroup(answers.where("kind = 'block'").select("block", "bucket", "reply").groupBy("block")).applyInArrow(run, schema)
+    return texts.select("block", "ids", "held", "sizes", "words", "classes").groupBy("block").cogroup(answers.where("kind = 'block'").select("block", "bucket", "reply").groupBy("block")).applyInArrow(run, schema)
