@@ -1,0 +1,146 @@
+"""Near-duplicates by the Jaccard similarity of whole texts' shingle sets; no pair at the bound or above is missed.
+
+Texts of equal shingle sets are one node.  Two sets whose similarity is `least` or more share a shingle among the first
+n - ceil(least x n) + 1 of each, in any order that holds for all sets; the order used here puts shingles that a sample of
+texts repeats last, which only keeps the groups small.  Nodes whose prefixes share enough are compared in two steps: first each with
+the least node of its groups, which joins dense clusters by few comparisons; then all pairs that lie in different
+components.  Every comparison is of the whole sets.
+
+Null text: the empty set, one node.  A null id is never dropped and links nothing.  Rows that share an id are one document.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+from fractions import Fraction
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import LOWER, as_bytes, drop_stored, slices, stored
+from .simhash import SEED, components
+
+#: Texts sampled, repetitions in them and number of the shingles that come last; no result depends on them.
+SAMPLED, REPEATED, MOST_REPEATED = 20_000, 8, 200_000
+
+
+def shingles(text: bytes | None, size: int) -> np.ndarray:
+    """Distinct XXH64 of a text's shingles, ascending; words are runs of anything but ASCII white space."""
+    words = (text or b"").translate(LOWER).split()
+    if not words:
+        return np.empty(0, np.uint64)
+    grams = list(map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False))) if len(words) >= size else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, len(grams)))
+
+
+def node_of(grams: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), SEED)).view(np.int64))
+
+
+def repeated(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, ascending, that many texts of a sample hold, and how many hold them."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            grams = [shingles(t, size) for t in as_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64))], names=["gram"])
+
+    share = max(1, docs.count() // SAMPLED)
+    found = docs.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).mapInArrow(run, "gram bigint").groupBy("gram").agg(F.count("*").alias("n"))
+    rows = found.where(F.col("n") >= REPEATED).orderBy(F.desc("n"), "gram").limit(MOST_REPEATED).toPandas()
+    grams = rows["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], rows["n"].to_numpy(np.int64)[order]
+
+
+def prefixes(docs: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """(id, node, n, prefix): the shingles one of which every set that is near enough has in its own prefix."""
+    late, often = repeated(docs, size)
+
+    def prefix(grams: np.ndarray) -> np.ndarray:
+        n = len(grams)
+        if not n:
+            return grams
+        rank = np.zeros(n, np.int64)
+        if len(late):
+            at = np.minimum(np.searchsorted(late, grams), len(late) - 1)
+            rank = np.where(late[at] == grams, often[at], 0)
+        return grams[np.lexsort((grams, rank))][: n + (-n * least.numerator // least.denominator) + 1]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            sets = [shingles(t, size) for t in as_bytes(batch.column(1))]
+            firsts = [prefix(s) for s in sets]
+            offsets = np.cumsum([0, *map(len, firsts)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(firsts).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), lists], names=["id", "node", "n", "prefix"])
+
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, node bigint, n bigint, prefix array<bigint>")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """The pairs (a, b) whose whole sets are near enough; texts are fetched by a node's least id."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            sets = [shingles(t, size) for t in as_bytes(batch.column(1))]
+            own = [k for k, (s, node) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if node_of(s) == node]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array([sets[k].view(np.int64) for k in own], pa.list_(pa.int64()))], names=["node", "grams"])
+
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "least"), "node")
+    texts = docs.join(asked, docs["id"] == asked["least"]).select("node", "text")
+    sets = stored(texts.mapInArrow(run, "node bigint, grams array<bigint>"), "shingle-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
+    shared = both.select("a", "b", (F.size("x") + F.size("y")).alias("total"), F.size(F.array_intersect("x", "y")).alias("shared"))
+    return stored(shared.where(F.col("shared") * least.denominator >= (F.col("total") - F.col("shared")) * least.numerator).select("a", "b").distinct(), "near-pairs")
+
+
+def candidates(pairs: DataFrame, least: Fraction) -> DataFrame:
+    """(a, b) of pairs (a, b, n, m), a row per shared shingle of the prefixes, that share enough: the set whose prefix ends
+    first can share no more than what its prefix does and all that comes after it."""
+    num, den = least.numerator, least.denominator
+    up = lambda x, by: f"(({x}) + {by - 1}) div {by}"
+    need = f"{up(f'{num} * (n + m)', num + den)} - {up(f'{num} * greatest(n, m)', den)} + 1"
+    return pairs.where(f"least(n, m) * {den} >= greatest(n, m) * {num}").groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared")).where(f"shared >= {need}").select("a", "b")
+
+
+def links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """(a, b): verified links that connect all nodes near enough to each other; rows: (id, node, n, prefix), nodes: (node, least, size)."""
+    spark = rows.sparkSession
+    copies = nodes.where("size > 1").join(rows.select("node", "id"), "node").where("id != least").select("id", "node").distinct()
+    posts = rows.join(copies, ["id", "node"], "left_anti").select("node", "n", F.explode("prefix").alias("gram"))
+    group = Window.partitionBy("gram")
+    dealt = posts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "gram")
+    headed = dealt.select("*", F.min(F.struct("node", "n")).over(group).alias("head"), F.max("node").over(group).alias("last")).where("head.node != last")
+    shared = stored(headed.select("gram", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("m")), "shared-shingles")
+    drop_stored(rows)
+    first = stored(candidates(shared.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"), "n", "m"), least), "first-pairs")
+    near = verified(first, nodes, docs, size, least)
+    known = stored(shared.join(components(near).distinct(), "node", "left").select("gram", "node", "n", F.coalesce("root", "node").alias("root")), "shared-shingles")
+    other = known.select("gram", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+    mixed = known.join(known.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("gram"), "gram", "left_semi")
+    pairs = candidates(mixed.withColumnRenamed("node", "a").join(other, "gram").where("a < b and root != other"), least)
+    return near.unionByName(verified(stored(pairs.join(first, ["a", "b"], "left_anti"), "further-pairs"), nodes, docs, size, least))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, least: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component of links, the one of least id."""
+    known = F.col(id_col).isNotNull()
+    texts = docs.where(known).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = stored(prefixes(texts, size, least), "prefixes")
+    of = stored(rows.select("id", "node"), "nodes")
+    nodes = stored(of.groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("size")), "nodes")
+    roots = components(links(rows, nodes, texts, size, least)).distinct()
+    rooted = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = of.join(rooted.join(lowest, "root").select("node", "component_id"), "node")
+    classes = stored(classes.groupBy("id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "classes")
+    gone = classes.where("id != component_id").select(F.col("id").alias("gone")).hint("merge")  # one plan at every size
+    kept = docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
+    if classes.where("n > 1").isEmpty():
+        return kept
+    return kept.where(known).dropDuplicates([id_col]).unionByName(kept.where(~known))

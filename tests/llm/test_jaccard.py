@@ -1,0 +1,48 @@
+"""The pipeline's near-dedup stage against all pairs of 5-word shingle sets."""
+
+import itertools
+
+import corpus_pipeline as pipeline
+from prosemill.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_force(texts):
+    """Ids left, and the number of pairs of different sets with similarity 0.8 or more."""
+    sets = {}
+    for i, text in sorted(texts.items()):
+        w = (text or "").encode().lower().split()
+        sets.setdefault(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset(), []).append(i)
+    root = {s: s for s in sets}
+
+    def find(s):
+        while root[s] is not s:
+            s = root[s]
+        return s
+
+    n = 0
+    for x, y in itertools.combinations(sets, 2):
+        if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
+            root[find(x)] = find(y)
+            n += 1
+    least = {}
+    for s, ids in sets.items():
+        least[find(s)] = min([*ids, *([least[find(s)]] if find(s) in least else [])])
+    return set(least.values()), n
+
+
+def test_stage_finds_every_near_pair(spark):
+    docs = table(spark, SF, "documents")
+    left, n = brute_force({r["doc_id"]: r["text"] for r in docs.collect()})
+    assert n
+    assert {r["doc_id"] for r in pipeline.STAGES[2][1](spark, docs, SF).collect()} == left
+
+
+def test_stage_joins_edited_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    edited = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    rows = [(1, edited()), (2, edited(20, 90)), (3, edited(50, 120, 180)), (4, edited(*range(0, 200, 9))), (5, None), (6, ""), (7, "a b c"), (None, edited()), (8, edited(30)), (8, "other words")]
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id bigint, text string")
+    got = pipeline.STAGES[2][1](spark, docs, SF).collect()
+    assert sorted((r["doc_id"] for r in got if r["doc_id"]), key=int) == [1, 4, 5, 7] and sum(r["doc_id"] is None for r in got) == 1
