@@ -33,8 +33,8 @@ def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-#: Target marginals: English is held at 45 % of tokens and the other languages share the rest; other dimensions keep
-#: their own shares, unless given.
+#: Target marginals: languages that aren't named, and documents without one, keep their own share of tokens; of the rest
+#: English is held at 45 %.  Other dimensions keep their own shares, unless given.
 TARGETS = {"lang": {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.15}}
 BUDGET = 0.7
 

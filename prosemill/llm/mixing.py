@@ -1,8 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting, and sampling by the calibrated probabilities.
 
 Token weights are summed into the cells of source x language x topic.  Raking multiplies the cells by factors until
-the marginal shares of each dimension meet their targets; cells that hold no tokens stay empty, and targets are
-rescaled to the values that occur.  A document's probability is min(1, scale x its cell's factor), where scale is the
+the marginal shares of each dimension meet their targets; cells that hold no tokens stay empty.  Values that a
+dimension's targets don't name, the missing value '?' among them, keep their own share of tokens, and the named targets
+are rescaled to what remains and to the values that occur.  A document's probability is min(1, scale x its cell's factor), where scale is the
 greatest at which expected tokens are at most `budget` times the corpus; it is sampled by a hash of its id, so that a sample repeats and a greater
 budget contains it.  Each kept document carries `mix_weight`, target over expected share of its cell (1 where the
 probability did not reach 1).
@@ -81,9 +82,11 @@ def calibrate(rows: DataFrame, targets: dict[str, dict[str, float]], budget: flo
         place = np.array([values.index(r[d]) for r in cells])
         has = np.bincount(place, weights=count, minlength=len(values)) > 0
         goal = targets.get(d) or {}
-        target = np.array([goal.get(v, 0.0 if goal else 1.0) for v in values]) * has
-        if not goal:
-            target = np.bincount(place, weights=count, minlength=len(values))
+        own = np.bincount(place, weights=count, minlength=len(values)) / count.sum()
+        named = np.array([v in goal for v in values], bool)
+        target = np.array([goal.get(v, 0.0) for v in values]) * has
+        left = 1.0 - own[~named].sum()  # values without a target keep their own share
+        target = np.where(named, target * (left / target.sum() if target.sum() else 0.0), own)
         places.append(place)
         wanted.append(target / target.sum() if target.sum() else has / has.sum())
     share = rake(count, places, wanted)
