@@ -6,12 +6,15 @@ collide stay apart.  Redirects are resolved once, in their own table, then joine
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import fnv1a32, hex8, links, norm_title, strip, target
 from ..options import DEFAULT
+from ..plans.stage import staged
 
 
 def redirect_target(raw: Column) -> Column:
@@ -42,20 +45,23 @@ def redirects(pages: DataFrame) -> DataFrame:
 
 
 def closure(redirect: DataFrame, hops: int = DEFAULT.redirect_hops) -> DataFrame:
-    """(source, final): where a link to a redirect ends, after at most `hops` steps; a step to a title already seen isn't taken."""
+    """(source, final): where a link to a redirect ends, after at most `hops` steps; a step to a title already seen isn't taken.
+
+    A round per step over tables, whatever the number of redirects; rows that have ended leave the rounds.
+    """
+    redirect = staged(redirect, "redirects")
     step = redirect.select(F.col("source").alias("at"), F.col("target").alias("next"))
     state = redirect.select("source", F.col("source").alias("at"), F.array("source").alias("seen"))
-    return redirect.sparkSession.sql(
-        f"""WITH RECURSIVE walk(source, at, seen, hop) AS (
-              SELECT source, at, seen, 0 FROM {{state}}
-              UNION ALL
-              SELECT w.source, s.next, concat(w.seen, array(s.next)), w.hop + 1
-              FROM walk w JOIN {{step}} s ON w.at = s.at
-              WHERE w.hop < {hops} AND NOT array_contains(w.seen, s.next))
-            SELECT source, max_by(at, hop) AS final FROM walk GROUP BY source""",
-        state=state,
-        step=step,
-    )
+    ended = []
+    for _ in range(hops):
+        # a left join, as a title has one step at most
+        moved = state.join(step, "at", "left").withColumn("go", F.col("next").isNotNull() & ~F.array_contains("seen", F.coalesce("next", F.lit(""))))
+        after = staged(moved.select("source", F.when(F.col("go"), F.col("next")).otherwise(F.col("at")).alias("at"), F.when(F.col("go"), F.concat("seen", F.array("next"))).otherwise(F.col("seen")).alias("seen"), "go"), "redirect-walk")
+        ended.append(after.where("not go").select("source", F.col("at").alias("final")))
+        state = after.where("go").select("source", "at", "seen")
+        if state.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, ended, state.select("source", F.col("at").alias("final")))
 
 
 def resolved(link: DataFrame, final: DataFrame) -> DataFrame:
