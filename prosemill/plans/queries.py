@@ -17,7 +17,8 @@ from .stage import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: The adapter makes short corpora, so the store's queries use small chunks.
+#: The adapter makes short corpora, so the store's queries use small chunks.  The vocabulary's sizes here are only those of
+#: the SQL; the spelling queries take the default ones.
 SMALL = Options(chunk_size=20, tier1_words=200, max_words=2000)
 DEMO_TITLES = ["Doc 0", "Doc 40", "Doc 41", "Doc 80", "Doc 99999"]
 DEMO_EXTRA = {"Beispiel": "Ein Beispiel ist ein Text, der nicht im Bestand ist."}
@@ -261,7 +262,7 @@ def token_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spelling.vocabulary(spelling.frequencies(_table(spark, sf_dir)), SMALL), "vocabulary")
+    return staged(spelling.vocabulary(spelling.frequencies(_table(spark, sf_dir))), "vocabulary")
 
 
 @query
