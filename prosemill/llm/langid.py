@@ -57,7 +57,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = 800, piece: int = 40
     known = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()}
     if len(known) > most_languages:
         raise ValueError(f"over {most_languages} languages")
-    ids = sampled_ids(labelled, "id", "lang", per_language, known)
+    ids = sampled_ids(labelled, "id", "lang", per_language, {r["lang"]: r["n"] for r in labelled.select("lang", "id").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()})
     found = labelled.join(F.broadcast(ids), ["id", "lang"]).select("id", "lang", "_rank", F.expr(f"substring(text, greatest(1, cast(length(text) / 2 - {piece // 2} as int)), {piece})").alias("text"))
     by: dict[str, list[tuple[int, str]]] = {}
     for r in sorted(found.distinct().collect(), key=lambda r: (r["lang"], r["_rank"], r["text"])):
