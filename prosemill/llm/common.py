@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +74,30 @@ def slices(batches: Iterable[pa.RecordBatch], text_at: int, limit: int = 4 << 20
         yield batch.slice(begin)
 
 
+def whole_keys(batches: Iterable[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
+    """The first `columns` columns of batches that come sorted by the first, as arrays that hold every row of their keys;
+    what is held at a time is one batch and the key that is open.  Binary columns of 8 k bytes become (rows, k) words."""
+
+    def plain(column: pa.Array) -> np.ndarray:
+        if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+            return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+        return column.to_numpy(zero_copy_only=False)
+
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([plain(batch.column(i)) for i in range(columns)])
+        if held[-1][0][-1] == held[0][0][0]:  # still the key that was open
+            continue
+        whole = [np.concatenate(x) for x in zip(*held, strict=True)]
+        cut = int(np.searchsorted(whole[0], whole[0][-1]))
+        yield [x[:cut] for x in whole]
+        held = [[x[cut:] for x in whole]]  # the last key may go on in the next batch
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 def sampled_ids(rows: DataFrame, id_col: str, group_col: str, per_group: int, known: dict) -> DataFrame:
     """Per group about the `per_group` ids of least md5, which doesn't depend on partitions.  `known` has the groups' row
     numbers: only ids whose md5, as a share of the whole range, is below 4 x per_group / number are ranked, so the

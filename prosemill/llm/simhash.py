@@ -19,17 +19,17 @@ unless all ids of its component are null.  Repeated rows come back as often as t
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, as_bytes, drop_stored, slices, stored
+from .common import LOWER, as_bytes, slices, stored, whole_keys
+from .graph import components
+from .shingles import majority, measured, near_links, shingle_hashes
 
-SEED = 42
 DISTANCE = 3
 #: A half is crowded if more distinct fingerprints than that have it.
 MOST = 512
@@ -41,13 +41,8 @@ def simhash(words: list[bytes], shingle: int = 3) -> int:
     """Unsigned fingerprint: a bit is set if it is in over half of the shingles' XXH64."""
     if not words:
         return 0
-    grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))) if len(words) >= shingle else [b" ".join(words)]
-    counts = np.zeros(64, np.int64)
-    for begin in range(0, len(grams), 1 << 15):
-        part = grams[begin : begin + (1 << 15)]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(SEED)), np.uint64, len(part))
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(grams), bitorder="little").tobytes(), "little")
+    hashes = shingle_hashes(words, shingle)
+    return int.from_bytes(majority(hashes[:, None]).tobytes(), "little")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,61 +121,23 @@ def links(fps: DataFrame, distance: int = DISTANCE, most: int = MOST) -> DataFra
         raise ValueError(f"signatures meet up to {DISTANCE} bits")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-
-        def solve(key: np.ndarray, fp: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-            edge = np.flatnonzero(np.diff(key)) + 1
-            begin, end = np.r_[0, edge], np.r_[edge, len(key)]
+        for key, fp, own in whole_keys(batches, 3):
+            fp = fp.view(np.uint64)
+            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            end = np.r_[begin[1:], len(key)]
             useful = (end - begin > 1) & (np.add.reduceat(own.astype(np.int64), begin) > 0)
             left, right = [], []
             for i, j in zip(begin[useful].tolist(), end[useful].tolist(), strict=True):
                 x, y = _forest(fp[i:j], own[i:j], distance)
                 left += x
                 right += y
-            return pa.RecordBatch.from_arrays([pa.array(np.array(z, np.uint64).view(np.int64)) for z in (left, right)], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append([batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy(zero_copy_only=False)])
-            if held[-1][0][-1] == held[0][0][0]:  # still the key that was open
-                continue
-            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-            cut = int(np.searchsorted(whole[0], whole[0][-1]))
-            yield solve(*(x[:cut] for x in whole))
-            held = [[x[cut:] for x in whole]]  # the last key may go on in the next batch
-        if held:
-            yield solve(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(z, np.uint64).view(np.int64)) for z in (left, right)], names=["a", "b"])
 
     spark = fps.sparkSession
     keys = stored(crowded(fps, most), "crowded-keys")
-    rows = split_crowded(signatures(fps), keys, keys.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST)
-    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a bigint, b bigint").where("a != b").distinct()
-
-
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root): root is the least node of each component that `edges` (a, b) connect; nodes without a link are not in it.
-
-    Large-star and small-star by turns until nothing changes; each round is a table in the shared folder.
-    """
-    state = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    for _ in range(most_rounds):
-        both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).where("a != b").distinct()
-        after = stored(small, "links")
-        drop_stored(state)
-        state = after
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if mark == before:
-            return state.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = mark
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    dealt = fps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # few bytes, but each row becomes some 34
+    rows = split_crowded(signatures(dealt), keys, keys.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST)
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").where("a != b").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,12 +151,48 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE,
     return rows.join(classes, "fp").select("id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, the one of least id; rows without an id stay, rows that share an id are one document."""
-    classes = stored(near_duplicates(docs, shingle, distance, id_col, text_col).where("id is not null").groupBy("id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "classes")
-    gone = classes.where("id != component_id").select(F.col("id").alias("gone")).hint("merge")  # one plan at every size
-    kept = docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
-    if classes.where("n > 1").isEmpty():
-        return kept
-    known = F.col(id_col).isNotNull()
-    return kept.where(known).dropDuplicates([id_col]).unionByName(kept.where(~known))
+
+
+def near_texts(docs: DataFrame, shingle: int = 5, least: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, digest, component_id, component_digest) of every row with an id: its text's md5, and the least row, by id and
+    digest, that is reachable over links of similarity `least` or more between whole texts' sets of shingles.
+
+    That similarity allows some ten of 64 bits to differ, too many for segments that tell texts apart.  So the
+    deletion-variant signatures give the pairs within three bits; wider ones are met by shingles of which near sets must
+    share one, and compared by SimHashes of 256 bits, which a pair of that similarity fails once in three million; all
+    links are verified on the whole sets.  Null and wordless texts are one set."""
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest_of(F.col(text_col)).alias("digest"))
+    rows = stored(measured(texts, shingle, least), "shingle-prefixes")
+    of = stored(rows.select("id", "digest", "node"), "nodes")
+    least_row = F.min(F.struct("id", "digest"))
+    nodes = stored(rows.groupBy("node").agg(least_row.alias("row"), F.min("fp").alias("fp")).select("node", "row.id", "row.digest", "fp"), "nodes")
+    of_fp = nodes.groupBy("fp").agg(F.min("node").alias("low"))
+    wide_links = links(of_fp.select("fp"))
+    across = wide_links.join(of_fp.select(F.col("fp").alias("a"), F.col("low").alias("x")), "a").join(of_fp.select(F.col("fp").alias("b"), F.col("low").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    within = nodes.join(of_fp, "fp").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    roots = components(near_links(rows, nodes, texts, across.unionByName(within), shingle, least)).distinct()
+    rooted = nodes.join(roots, "node", "left").select("node", F.struct("id", "digest").alias("row"), F.coalesce("root", "node").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("row").alias("row"))
+    classes = rooted.select("node", "root").join(lowest, "root").select("node", F.col("row.id").alias("component_id"), F.col("row.digest").alias("component_digest"))
+    return of.join(classes, "node").select("id", "digest", "component_id", "component_digest")
+
+
+def digest_of(text: Column) -> Column:
+    """md5 of a text; '' for null."""
+    return F.coalesce(F.md5(text.cast("binary")), F.lit(""))
+
+
+def deduplicated(docs: DataFrame, shingle: int = 5, least: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of near_texts(): the least by id, then by its text's md5; rows that agree in both are one
+    row, the least by its JSON.  Rows that share an id but not a text are told apart.  Rows without an id all stay."""
+    classes = stored(near_texts(docs, shingle, least, id_col, text_col).groupBy("id", "digest").agg(F.first("component_id").alias("component_id"), F.first("component_digest").alias("component_digest"), F.count("*").alias("n")), "classes")
+    stays = (F.col("id") == F.col("component_id")) & (F.col("digest") == F.col("component_digest"))
+    gone = classes.where(~stays).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+    marked = docs.withColumns({"_id": F.col(id_col), "_digest": digest_of(F.col(text_col))})
+    kept = marked.join(gone.hint("merge"), ["_id", "_digest"], "left_anti")  # one plan at every size
+    again = classes.where(stays & (F.col("n") > 1)).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    order = Window.partitionBy("_id", "_digest").orderBy(F.to_json(F.struct(*docs.columns)))
+    once = kept.join(again, ["_id", "_digest"], "left_semi").withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+    return kept.join(again, ["_id", "_digest"], "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from prosemill.llm import chat, common, compression, decontam, hmm, langid, license_scan, merkle, mixing, quality, queries, simhash, url_filter
+from prosemill.llm import chat, common, compression, decontam, graph, hmm, langid, license_scan, merkle, mixing, quality, queries, simhash, url_filter
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -279,7 +279,7 @@ def test_simhash_links_of_random_clusters(spark):
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in ids.values()]
     edges = simhash.links(spark.createDataFrame(signed, "fp bigint")).collect()
     assert all(((r["a"] ^ r["b"]) & (1 << 64) - 1).bit_count() <= 3 for r in edges)
-    roots = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame([tuple(r) for r in edges], "a bigint, b bigint")).collect()}
+    roots = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame([tuple(r) for r in edges], "a bigint, b bigint")).collect()}
     want = brute_components(ids)
     got = {i: roots.get(s, s) for i, (s,) in enumerate(signed)}
     assert {frozenset(k for k in got if got[k] == v) for v in got.values()} == {frozenset(k for k in want if want[k] == v) for v in want.values()}
@@ -305,7 +305,7 @@ def test_simhash_splits_crowded_keys(spark, monkeypatch, low, broadcast):
     assert counts.agg(F.max("count")).first()[0] < 33 * 17  # the crowded keys have hundreds
     edges = [(r["a"], r["b"]) for r in simhash.links(df, most=16).collect()]
     assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in edges)
-    roots = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    roots = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     want = brute_components({s: f for (s,), f in zip(signed, sorted(fps), strict=True)})
     assert {s: roots.get(s, s) for s in want} == want
 

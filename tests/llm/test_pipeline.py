@@ -1,12 +1,12 @@
 """The pipeline's stages against brute force on what came before each."""
 
-import numpy as np
-
 import corpus_pipeline as pipeline
-from prosemill.llm import decontam, langid, quality, simhash
+from prosemill.llm import decontam, langid, quality
 from prosemill.llm.common import crc_mod, table
 from pyspark.sql import functions as F
 
+from test_near_dedup import brute_force
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -23,17 +23,7 @@ def test_stages(spark):
     assert set(rows[1]) == {i for i, r in rows[0].items() if model.score(r["text"].encode()) >= pipeline.LEAST_QUALITY}
     model = langid.fit(outs[1], F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(False)))
     assert set(rows[2]) == {i for i, r in rows[1].items() if (p := model.predict(r["text"]))[0] != "und" and p[1] >= pipeline.LEAST_LANGUAGE}
-    fps = {i: simhash.simhash(r["text"].encode().translate(simhash.LOWER).split()) for i, r in rows[2].items()}
-    ids, left = np.array(sorted(fps)), set()
-    values = np.array([fps[i] for i in ids], np.uint64)
-    component = {int(i): int(i) for i in ids}
-    for _ in range(20):  # least id reachable
-        for k, i in enumerate(ids):
-            near = ids[np.bitwise_count(values ^ values[k]) <= 3]
-            low = min(component[int(j)] for j in near)
-            for j in near:
-                component[int(j)] = min(component[int(j)], low)
-    left = {i for i, c in component.items() if i == c}
+    left, _ = brute_force({i: r["text"] for i, r in rows[2].items()})
     assert set(rows[3]) == left
     items = {tuple(w[i : i + 10]) for r in table(spark, SF, "benchmark").collect() for w in [decontam.words_of(r["text"].encode())] for i in range(len(w) - 9)}
     dirty = {i for i, r in rows[3].items() if any(tuple(w[k : k + 10]) in items for w in [decontam.words_of(r["text"].encode())] for k in range(len(w) - 9))}
