@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm import decontam, jaccard, langid, mixing, quality
+from prosemill.llm import decontam, langid, mixing, quality, simhash
 from prosemill.llm.common import crc_mod, stored, table
 
 #: A document goes if it is that likely a bad one; the classifier's own decision line is higher, as a filter that
@@ -25,8 +25,8 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_likeness(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8."""
-    return jaccard.deduplicated(docs)
+    """Five-word shingles of whole texts, similarity 0.8."""
+    return simhash.deduplicated(docs)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def by_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", by_quality),
     ("language ID", by_language),
-    ("near-dedup", by_likeness),
+    ("SimHash near-dedup", by_likeness),
     ("benchmark decontamination", by_benchmark),
     ("mixing to target weights", by_mixture),
 ]
