@@ -71,6 +71,10 @@ FICTION_CATEGORY = I + category(any_of(FICTION_CATEGORIES))
 TAXON = I + template("taxobox", r"[|}]")
 LINK_NAMESPACE = rf"{I}^{any_of(LINK_NAMESPACES)}:"
 WIKILINK = r"\[\[([^\[\]]+)\]\]"
+#: A link's target up to a label or a fragment; none with a colon, none that is empty.
+LINK_TARGET = rf"\[\[{S}*+([^\[\]|#:]++)(?:[|#][^\[\]]*+)?\]\]"
+#: A link with a target that names no namespace; colons before it don't count.
+CONTENT_LINK = rf"{I}\[\[{S}*+:*+{S}*+(?=[^\[\]|])(?!{any_of(LINK_NAMESPACES)}:)[^\[\]]++\]\]"
 
 # The sanitizer's steps in their order, up to the appendix step: (name, pattern, replacement).
 BEFORE_ENTITIES = (("comments", r"(?s)<!--.*?-->", ""),)

@@ -18,19 +18,14 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.translate(text, P.SPACES, " " * len(P.SPACES)), F.lit("[^ ]++"))
 
 
-def links(raw: Column) -> Column:
-    """Array of what stands in [[...]]."""
-    return F.regexp_extract_all(raw, F.lit(P.WIKILINK), F.lit(1))
-
-
-def target(link: Column) -> Column:
-    return strip(F.substring_index(link, "|", 1))
+def link_targets(raw: Column) -> Column:
+    """Array of the targets in [[target#fragment|label]]; links without a target or with a colon in it aren't there."""
+    return F.regexp_extract_all(raw, F.lit(P.LINK_TARGET), F.lit(1))
 
 
 def content_links(raw: Column) -> Column:
     """Number of links to articles: file, category and other namespace links don't count."""
-    name = lambda x: strip(F.regexp_replace(target(x), r"^:+", ""))
-    return F.size(F.filter(links(raw), lambda x: (name(x) != "") & ~name(x).rlike(P.LINK_NAMESPACE)))
+    return F.regexp_count(raw, F.lit(P.CONTENT_LINK))
 
 
 def norm_title(title: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..options import DEFAULT, Options
@@ -27,6 +27,16 @@ def report(rows: DataFrame, path: str) -> None:
     rows.orderBy(F.desc("words"), "title").write.mode("overwrite").json(path)
 
 
+def text_report(rows: DataFrame, n: int = 100) -> DataFrame:
+    """(line, text): a heading with the numbers of rescued and missing pages, and the n longest missing ones."""
+    rows = rows.select("title", "words", "in_store")
+    counts = rows.agg(F.count("*").alias("all"), F.coalesce(F.count_if(~F.col("in_store")), F.lit(0)).alias("missing"))
+    head = counts.select(F.lit(0).alias("line"), F.format_string("%d rescued, %d of them missing", "all", "missing").alias("text"))
+    best = rows.where("not in_store").orderBy(F.desc("words"), "title").limit(n)
+    ranked = best.select(F.row_number().over(Window.orderBy(F.desc("words"), "title")).alias("line"), F.format_string("%7d  %s", "words", "title").alias("text"))  # over n rows
+    return head.unionByName(ranked)
+
+
 def demo(articles: DataFrame, titles: list[str], extra: dict[str, str]) -> DataFrame:
     """Articles of the named titles and synthetic ones, renumbered as one part, ready for store.build()."""
     spark = articles.sparkSession

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import fnv1a32, hex8, links, norm_title, strip, target
+from ..functions.text import fnv1a32, hex8, link_targets, norm_title, strip
 from ..options import DEFAULT
 from ..plans.stage import staged
 
@@ -26,20 +26,26 @@ def graph_pages(pages: DataFrame) -> DataFrame:
     """(page_id, part, title, is_redirect, redirect, targets); a malformed redirect is an ordinary page here."""
     raw = F.coalesce("raw", F.lit(""))
     rows = pages.select("page_id", "part", strip(F.coalesce("title", F.lit(""))).alias("title"), raw.alias("raw"), redirect_target(raw).alias("redirect"))
-    name = lambda x: F.substring_index(target(x), "#", 1)
-    targets = F.transform(F.filter(links(F.col("raw")), lambda x: (target(x) != "") & ~F.contains(name(x), F.lit(":"))), name)
-    return rows.select("page_id", "part", "title", (F.col("redirect") != "").alias("is_redirect"), "redirect", F.when(F.col("redirect") == "", targets).alias("targets"))
+    return rows.select("page_id", "part", "title", (F.col("redirect") != "").alias("is_redirect"), "redirect", F.when(F.col("redirect") == "", link_targets(F.col("raw"))).alias("targets"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, source, target): every link occurrence, by normalized titles; empty targets and links to oneself are no links."""
-    rows = graph_pages(pages).where("not is_redirect").select("page_id", norm_title(F.col("title")).alias("source"), F.explode("targets").alias("t"))
+    return _page_links(graph_pages(pages))
+
+
+def _page_links(graph: DataFrame) -> DataFrame:
+    rows = graph.where("not is_redirect").select("page_id", norm_title(F.col("title")).alias("source"), F.explode("targets").alias("t"))
     return rows.select("page_id", "source", norm_title(F.col("t")).alias("target")).where("target != '' and target != source")
 
 
 def redirects(pages: DataFrame) -> DataFrame:
     """(source, target): of several redirects of a title the last by part and page."""
-    rows = graph_pages(pages).where("is_redirect").select("part", "page_id", norm_title(F.col("title")).alias("source"), norm_title(F.col("redirect")).alias("target"))
+    return _redirects(graph_pages(pages))
+
+
+def _redirects(graph: DataFrame) -> DataFrame:
+    rows = graph.where("is_redirect").select("part", "page_id", norm_title(F.col("title")).alias("source"), norm_title(F.col("redirect")).alias("target"))
     rows = rows.where("source != '' and target != ''")
     return rows.groupBy("source").agg(F.max_by("target", F.struct("part", "page_id", "target")).alias("target"))
 
@@ -64,16 +70,16 @@ def closure(redirect: DataFrame, hops: int = DEFAULT.redirect_hops) -> DataFrame
     return reduce(DataFrame.unionByName, ended, state.select("source", F.col("at").alias("final")))
 
 
-def resolved(link: DataFrame, final: DataFrame) -> DataFrame:
-    """Links with `target` replaced by where it ends."""
-    return link.join(final.withColumnRenamed("source", "target"), "target", "left").withColumn("target", F.coalesce("final", "target")).drop("final")
-
-
 def indegrees(pages: DataFrame, distinct: bool = False) -> DataFrame:
     """(target, h, indegree): link occurrences per resolved target, or with `distinct` the pages that link to it."""
-    found = resolved(page_links(pages), closure(redirects(pages)))
-    count = F.countDistinct("page_id") if distinct else F.count("*")
-    return found.groupBy("target").agg(count.alias("indegree")).select("target", fnv1a32(F.col("target")).alias("h"), "indegree")
+    graph = staged(graph_pages(pages), "graph")
+    final = closure(_redirects(graph)).withColumnRenamed("source", "target")
+    ends = lambda counted: counted.join(final, "target", "left").withColumn("target", F.coalesce("final", "target"))
+    # Occurrences are summed before the join, so that a target that many pages link to is one row there.
+    keys = ["target", "page_id"] if distinct else ["target"]
+    counted = ends(_page_links(graph).groupBy(*keys).agg(F.count("*").alias("n")))
+    found = counted.groupBy("target").agg((F.countDistinct("page_id") if distinct else F.sum("n")).alias("indegree"))
+    return found.select("target", fnv1a32(F.col("target")).alias("h"), "indegree")
 
 
 def titles(pages: DataFrame) -> DataFrame:
@@ -88,6 +94,22 @@ def sidecar(pages: DataFrame) -> DataFrame:
     return indegrees(pages).join(known, "target", "left").select(hex8(F.col("h")).alias("hash8"), "indegree", F.coalesce("first_title", F.lit("?")).alias("title"))
 
 
+def by_degree(rows: DataFrame, n: int | None = None) -> DataFrame:
+    """The sidecar from the most linked target on, ties by hash and title; its first n rows, or all."""
+    ordered = rows.orderBy(F.desc("indegree"), "hash8", "title")
+    return ordered if n is None else ordered.limit(n)
+
+
+def write_sidecar(rows: DataFrame, path: str) -> None:
+    """Tab-separated files in order of degree, without quotes or header; tabs and line ends in titles become spaces."""
+    plain = rows.withColumn("title", F.translate("title", "\t\r\n", "   "))
+    by_degree(plain).select("hash8", "indegree", "title").write.option("sep", "\t").option("quote", "\u0000").option("emptyValue", "").mode("overwrite").csv(path)
+
+
+def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("sep", "\t").option("quote", "\u0000").schema("hash8 string, indegree bigint, title string").csv(path)
+
+
 def unlinked(pages: DataFrame) -> DataFrame:
     return titles(pages).join(indegrees(pages).withColumnRenamed("target", "title"), "title", "left_anti").select("title")
 

@@ -31,6 +31,11 @@ def vocabulary(freqs: DataFrame, options: Options = DEFAULT) -> DataFrame:
     return ranked.select("idx", "word", "freq", (F.col("idx") < options.tier1_words).alias("tier1"))
 
 
+def most_common(freqs: DataFrame, n: int = 30) -> DataFrame:
+    """The n most frequent words, ties by word: a report."""
+    return freqs.orderBy(F.desc("freq"), "word").limit(n)
+
+
 def delete_index(vocab: DataFrame) -> DataFrame:
     """(variant, h, idx): each word, its one-letter deletes, and for tier 1 its two-letter deletes."""
     own = F.array("word")

@@ -6,6 +6,7 @@ ever holds a whole part.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -61,12 +62,12 @@ def build(articles: DataFrame, options: Options = DEFAULT) -> DataFrame:
     return rows.select("id", "title", lead_sample(F.col("text"), options.sample_chars).alias("content_sample"), "chunk_id", "offset", "length", tier.alias("tier"), "text")
 
 
-def compressor(options: Options):  # noqa: ANN201
+def compressor(level: int, window_log: int):  # noqa: ANN201
     import zstandard
 
-    if options.level < 19:
-        return zstandard.ZstdCompressor(level=options.level)
-    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(options.level, window_log=options.window_log, enable_ldm=True))
+    if level < 19:
+        return zstandard.ZstdCompressor(level=level)
+    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(level, window_log=window_log, enable_ldm=True))
 
 
 def chunks(table: DataFrame, options: Options = DEFAULT) -> DataFrame:
@@ -74,7 +75,7 @@ def chunks(table: DataFrame, options: Options = DEFAULT) -> DataFrame:
     rows = table.select("chunk_id", "offset", "text").repartition("chunk_id").sortWithinPartitions("chunk_id", "offset")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, now, parts = compressor(options), None, []
+        press, now, parts = compressor(options.level, options.window_log), None, []
         done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([press.compress(b"".join(parts))], pa.binary())], names=["chunk_id", "data"])
         for batch in batches:
             for chunk, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -119,15 +120,27 @@ def stats(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("articles"), F.countDistinct("chunk_id").alias("chunks"), F.sum("length").alias("bytes"), F.coalesce(F.max("id"), F.lit(0)).alias("last_id"))
 
 
-def sweep(texts: DataFrame, levels: tuple[int, ...] = (3, 19, 20, 21, 22), chunk: int = 200) -> DataFrame:
-    """(level, bytes, compressed, ratio): the texts (page_id, text) in chunks of `chunk`, by compression level."""
+def counts(pages: DataFrame, kept: DataFrame, table: DataFrame) -> DataFrame:
+    """(pages, accepted, skipped, duplicates, articles, chunks) of a build: what came in, what the rules kept of it, and
+    what the store has after repeated titles went."""
+    inside, passed = pages.agg(F.count("*")).scalar(), kept.agg(F.count("*")).scalar()
+    return table.agg(inside.alias("pages"), passed.alias("accepted"), (inside - passed).alias("skipped"), (passed - F.count("*")).alias("duplicates"), F.count("*").alias("articles"), F.countDistinct("chunk_id").alias("chunks"))
+
+
+def sweep(texts: DataFrame, levels: tuple[int, ...] = (3, 19, 20, 21, 22), chunk: int = 200, window_log: int = DEFAULT.window_log) -> DataFrame:
+    """(level, bytes, compressed, ratio, mb_per_s): the texts (page_id, text) in chunks of `chunk`, by compression level;
+    mb_per_s is of one core."""
     rows = texts.select(F.floor(F.row_number().over(Window.partitionBy(F.floor(F.col("page_id") / STRETCH)).orderBy("page_id")) / chunk).alias("c"), F.floor(F.col("page_id") / STRETCH).alias("s"), "page_id", "text")
     grouped = rows.groupBy("s", "c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "text"))), lambda x: x["text"]), "").alias("text"))
 
-    @F.pandas_udf("long")
-    def size(texts: pd.Series, level: pd.Series) -> pd.Series:
-        makers = {n: compressor(Options(level=int(n))) for n in level.unique()}
-        return pd.Series([len(makers[n].compress(t.encode())) for t, n in zip(texts, level, strict=True)])
+    @F.pandas_udf("size long, seconds double")
+    def size(texts: pd.Series, level: pd.Series) -> pd.DataFrame:
+        makers, out = {n: compressor(int(n), window_log) for n in level.unique()}, []
+        for t, n in zip(texts, level, strict=True):
+            data, began = t.encode(), time.perf_counter()
+            out.append((len(makers[n].compress(data)), time.perf_counter() - began))
+        return pd.DataFrame(out, columns=["size", "seconds"])
 
     each = grouped.select(F.octet_length("text").cast("long").alias("n"), "text", F.explode(F.array(*(F.lit(x) for x in levels))).alias("level"))
-    return each.select("level", "n", size("text", "level").alias("size")).groupBy("level").agg(F.sum("n").alias("bytes"), F.sum("size").alias("compressed")).withColumn("ratio", F.round(F.col("bytes") / F.col("compressed"), 4))
+    summed = each.select("level", "n", size("text", "level").alias("s")).groupBy("level").agg(F.sum("n").alias("bytes"), F.sum("s.size").alias("compressed"), F.sum("s.seconds").alias("seconds"))
+    return summed.select("level", "bytes", "compressed", F.round(F.col("bytes") / F.col("compressed"), 4).alias("ratio"), F.round(F.col("bytes") / F.col("seconds") / 1e6, 3).alias("mb_per_s"))

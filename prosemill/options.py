@@ -27,8 +27,8 @@ class Options:
     redirect_hops: int = 16
 
     def __post_init__(self) -> None:
-        if not 1 <= self.level <= 22:
-            raise ValueError("level must be within 1..22")
+        if not 1 <= self.level <= 19:
+            raise ValueError("level must be within 1..19")
         if self.chunk_size < 1:
             raise ValueError("chunk_size must be at least 1")
         if self.tier1_words < 1 or self.max_words < 1:

@@ -6,9 +6,13 @@ the sanitizer has work; page_id % 4 stands for the dump part.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.wiki import spread
+from .stage import stage_root
 
 ID = "CAST(doc_id AS STRING)"
 NL = "chr(10)"
@@ -39,7 +43,7 @@ BANNERS = {
     18: "'{{Werbung}}{{Veraltet}}'",
     19: "'{{SLA|x}}'",
     20: f"{NL} || '{{{{Zukunft}}}}' || {NL}",
-    21: "'Wahl: 2030{{Zukunft|2030}}'",
+    21: "'Plan: 2031{{Zukunft|2031}}'",
     22: "'{{Belege fehlen}}'",
     24: f"{NL} || '== Teil ==' || {NL} || '{{{{Belege fehlen}}}}' || {NL}",
     25: "'{{Belege fehlen|x|Dieser Abschnitt}}'",
@@ -57,7 +61,7 @@ MARKUP = " || ".join(
     [
         "'[[Doc ' || CAST((3 * doc_id) % 97 AS STRING) || ']] und [[doc_' || CAST((5 * doc_id) % 89 AS STRING) || '#Teil|das andere]] '",
         "chr(39) || chr(39) || chr(39) || 'fett' || chr(39) || chr(39) || chr(39) || ' &amp;amp; Co.<!-- weg --><ref name=a>Quelle</ref><ref name=b/> <b>b</b> '",
-        "'[http://x.example Label] [http://x.example] [ˈʔaːbə] 52° 31′ N, 13° 24′ O [[Kategorie:Thema]] [[Datei:x.jpg|mini|Bild]] {{Vorlage|a}} '",
+        "'[http://x.example Label] [http://x.example] [ˈmɪlə] 47° 5′ N, 15° 27′ O [[Kategorie:Thema]] [[Datei:x.jpg|mini|Bild]] {{Vorlage|a}} '",
         f"{NL} || '{{| class=x' || {NL} || '|-' || {NL} || '| a || b' || {NL} || '|}}' || {NL} || '| rest | zelle |' || {NL} || '|-' || {NL}",
     ]
 )
@@ -75,3 +79,26 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     text = pages_sql("DOCUMENTS").replace("{", "{{").replace("}", "}}").replace("DOCUMENTS", "{documents}")
     return spark.sql(text, documents=documents)
+
+
+#: Namespaces of the dump by residue of the id: another one, none said, else the main one.
+NS = "CASE page_id % 9 WHEN 1 THEN '<ns>1</ns>' WHEN 2 THEN '' ELSE '<ns>0</ns>' END"
+
+
+def dump_files(spark: SparkSession, sf_dir: str) -> str:
+    """The pages as XML dump files; the folder's path."""
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = F.concat(F.lit("<page>\n<title>"), escaped(F.col("title")), F.lit("</title>"), F.expr(NS), F.lit("<id>"), F.col("page_id").cast("string"), F.lit('</id><revision><text bytes="1">'), escaped(F.col("raw")), F.lit("</text></revision></page>"))
+    return _written(pages(spark, sf_dir).select(page), "dump")
+
+
+def text_files(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as extracted text files; the folder's path."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _written(rows.select(F.concat(F.lit('<doc id="'), F.col("doc_id"), F.lit('" title="Doc '), F.col("doc_id"), F.lit('">\n'), F.coalesce("text", F.lit("")), F.lit("\n</doc>\n"))), "extracted")
+
+
+def _written(lines: DataFrame, tag: str) -> str:
+    path = f"{stage_root(lines.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    lines.write.option("maxRecordsPerFile", 1000).text(path)
+    return path

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..options import DEFAULT
 from .adapter import pages_sql
 from .queries import DEMO_EXTRA, DEMO_TITLES, MISSPELLED, SMALL, TERM
 
@@ -161,10 +162,10 @@ TOKEN = r"[\p{L}\p{Nl}\p{No}](?:[\p{L}\p{N}_-]*[\p{L}\p{N}_])?"
 FREQ = f"""said AS (SELECT title AS s, 5 AS w FROM store UNION ALL SELECT content_sample, 1 FROM store),
     token AS (SELECT unnest(regexp_extract_all(lower(s), {lit(TOKEN)})) AS word, w FROM said),
     freq AS (SELECT word, sum(w)::BIGINT AS freq FROM token WHERE length(word) BETWEEN 3 AND 28 AND NOT regexp_matches(word, '^[\\p{{Nd}}²³¹⁰⁴-⁹₀-₉①-⑨]+$') GROUP BY word)"""
-VOCAB = f"vocab AS (SELECT row_number() OVER (ORDER BY freq DESC, word) - 1 AS idx, word, freq FROM freq WHERE freq >= 2 QUALIFY idx < {SMALL.max_words})"
+VOCAB = f"vocab AS (SELECT row_number() OVER (ORDER BY freq DESC, word) - 1 AS idx, word, freq FROM freq WHERE freq >= 2 QUALIFY idx < {DEFAULT.max_words})"
 DELETE = "list_distinct(list_transform(range(1, length({0}) + 1), lambda i: substr({0}, 1, i - 1) || substr({0}, i + 1)))"
 DELETES = f"""v0 AS (SELECT idx, word AS variant FROM vocab), v1 AS (SELECT idx, unnest({DELETE.format('word')}) AS variant FROM vocab),
-    v2 AS (SELECT v1.idx, unnest({DELETE.format('variant')}) AS variant FROM v1 WHERE idx < {SMALL.tier1_words}),
+    v2 AS (SELECT v1.idx, unnest({DELETE.format('variant')}) AS variant FROM v1 WHERE idx < {DEFAULT.tier1_words}),
     variants AS (SELECT * FROM v0 UNION SELECT * FROM v1 UNION SELECT * FROM v2)"""
 ASKED = "asked AS (SELECT unnest([" + ", ".join(map(lit, MISSPELLED)) + "]) AS query)"
 POSTINGS = """fields AS (SELECT id, 0 AS col, lower(title) AS s FROM store UNION ALL SELECT id, 1, lower(content_sample) FROM store),
@@ -241,6 +242,18 @@ SQL |= {
     "audit_missing": f"{with_(*BASE, KNOWN, RESCUED)} SELECT title, words, chars FROM rescued WHERE NOT in_store ORDER BY words DESC, title LIMIT 100",
     "demo_slice": f"""{with_(*WITH_TIERS, DEDUPED)}, picked AS (SELECT page_id, title, text FROM deduped WHERE title IN ({', '.join(map(lit, DEMO_TITLES))}) UNION ALL SELECT -1, {lit(next(iter(DEMO_EXTRA)))}, {lit(next(iter(DEMO_EXTRA.values())))})
         SELECT row_number() OVER (ORDER BY page_id) AS id, title, 1::BIGINT AS chunk_id, coalesce(sum(strlen(text)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset", strlen(text) AS length FROM picked""",
+    "audit_report": f"""{with_(*BASE, KNOWN, RESCUED)} SELECT 0 AS line, format('{{}} rescued, {{}} of them missing', count(*), count(*) FILTER (NOT in_store)) AS text FROM rescued
+        UNION ALL (SELECT row_number() OVER (ORDER BY words DESC, title)::INT, printf('%7d  %s', words, title) FROM rescued WHERE NOT in_store ORDER BY words DESC, title LIMIT 100)""",
+    "dump_scan": f"{with_(PAGES)} SELECT page_id, title, length(raw) AS n, md5(raw) AS digest FROM pages WHERE page_id % 9 <> 1",
+    "dump_link_pass": f"{with_(PAGES)} SELECT page_id, title, length(raw) AS n, md5(raw) AS digest FROM pages WHERE page_id % 9 NOT IN (1, 2)",
+    "dump_parts": "SELECT count(*) AS pages, sum(doc_id)::BIGINT AS ids FROM documents WHERE doc_id % 9 <> 1",
+    "extracted_scan": "SELECT 'Doc ' || doc_id AS title, length(v) AS n, md5(v) AS digest FROM (SELECT doc_id, replace(coalesce(text, '') || chr(10), chr(10), chr(10) || chr(10)) AS v FROM documents)",
+    "sidecar_file": f"{with_(PAGES, GRAPH, TITLES)} SELECT lpad(lower(hex({fnv('d.target')})), 8, '0') AS hash8, indegree, coalesce(first_title, '?') AS title FROM degree d LEFT JOIN titles t ON d.target = t.title",
+    "targets_by_degree": f"""{with_(PAGES, GRAPH, TITLES)} SELECT row_number() OVER (ORDER BY indegree DESC, hash8, title)::INT AS place, hash8, indegree, title
+        FROM (SELECT lpad(lower(hex({fnv('d.target')})), 8, '0') AS hash8, indegree, coalesce(first_title, '?') AS title FROM degree d LEFT JOIN titles t ON d.target = t.title) ORDER BY place LIMIT 100""",
+    "common_words": f"{with_(*STORE, FREQ)} SELECT word, freq FROM freq ORDER BY freq DESC, word LIMIT 30",
+    "build_counts": f"""{with_(*STORE)} SELECT pages, accepted, pages - accepted AS skipped, accepted - articles AS duplicates, articles, chunks FROM
+        (SELECT (SELECT count(*) FROM pages) AS pages, (SELECT count(*) FROM tiered) AS accepted, (SELECT count(*) FROM store) AS articles, (SELECT count(DISTINCT chunk_id) FROM store) AS chunks)""",
     "bench_sample": f"{with_(PAGES, CLEAN)} SELECT page_id, title, length(text) AS n FROM pages JOIN clean USING (page_id) WHERE title <> '' AND length(text) >= 200 ORDER BY part, page_id LIMIT 100",
 }
 #: DuckDB counts edits in bytes, so letters beyond ASCII become capitals, which the words don't hold.

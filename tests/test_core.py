@@ -2,6 +2,7 @@
 
 import bz2
 import struct
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from prosemill.functions import sanitize as san
 from prosemill.functions import text as tx
-from prosemill.operators import classify, linkgraph, search, spelling, store, tiering
+from prosemill.operators import audit, classify, linkgraph, search, spelling, store, tiering
 from prosemill.options import Options
-from prosemill.plans import build
+from prosemill.plans import build, stage
 from prosemill.sources import wiki
 from prosemill.streaming import ingest
 
@@ -29,7 +30,7 @@ CASES = [
     ("A", " # WEITERLEITUNG [[X]]", "redirect"), ("A", "#redirect ohne Ziel", "redirect"), ("A", PROSE + "[[ Kategorie : Begriffsklärung]]", "disambiguation"),
     ("A", "{{Stub}}" + PROSE, "stub"), ("A", "{{Substub|x}}" + PROSE, "stub"), ("A", "{{Stubb}}" + PROSE, "accepted"),
     ("A", "{{Werbung}}" + PROSE, "quality-template"), ("A", "{{Werbung}}{{Veraltet}}" + PROSE, "accepted"),
-    ("A", "Wahl: 2030{{Zukunft|2030}} " + PROSE, "accepted"), ("A", "x\n {{Zukunft}} " + PROSE, "quality-template"),
+    ("A", "Plan: 2031{{Zukunft|2031}} " + PROSE, "accepted"), ("A", "x\n {{Zukunft}} " + PROSE, "quality-template"),
     ("A", "{{Belege fehlen}}" + PROSE, "quality-template"), ("A", PROSE + "\n== H ==\n{{Belege fehlen}}", "accepted"),
     ("A", "{{Belege fehlen|x|Dieser Abschnitt}}" + PROSE, "accepted"), ("A", "{{Belege fehlen|x|die folgenden beiden Absätze}}" + PROSE, "accepted"),
     ("A", PROSE + "\n== H ==\n{{Belege fehlen|x|2=Dieser Artikel}}", "quality-template"), ("A", "{{Belege fehlen|x " + PROSE, "accepted"),
@@ -147,6 +148,43 @@ def test_search(spark):
     assert [r["id"] for r in search.bm25(table, "quanten").collect()] == [1, 2]
 
 
+def test_resume(spark, tmp_path):
+    source, work = str(tmp_path / "pages"), str(tmp_path / "work")
+    pages(spark, [(f"Seite {i}", PROSE + f" [[Seite {i // 2}]] mehr{i}") for i in range(20)]).write.parquet(source)
+    seen = lambda: {p.name: p.stat().st_mtime_ns for p in (tmp_path / "work").iterdir()}
+    build.corpus(spark.read.parquet(source), Options(chunk_size=7), work=work)
+    before = seen()
+    assert {n.rpartition("-")[0] for n in before} == {"degrees", "accepted", "articles", "vocabulary"}
+    again = build.corpus(spark.read.parquet(source), Options(chunk_size=7), work=work)
+    assert seen() == before and again.articles.count() == 20
+    other = build.corpus(spark.read.parquet(source), Options(chunk_size=8), work=work)
+    assert len(seen()) == 4 and not set(seen()) & set(before) and other.articles.count() == 20
+    links = pages(spark, [("Nur", "[[Seite 3]]")])
+    assert [r["target"] for r in build.corpus(spark.read.parquet(source), link_pages=links).degrees.collect()] == ["Seite 3"]
+
+
+def test_stages_need_a_shared_folder(spark):
+    kept = stage.staged(spark.range(3), "x")
+    assert kept.count() == 3
+    stage.drop_staged(kept)
+    session = lambda folder, master: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master, applicationId="a"))
+    assert stage.shared_dir(session("hdfs://x/y/", "yarn")) == "hdfs://x/y"
+    assert stage.shared_dir(session(None, "local[4]")) == stage.shared_dir(session(None, "local")).rstrip("/")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://x:7077"):
+        with pytest.raises(RuntimeError):
+            stage.shared_dir(session(None, master))
+
+
+def test_reports(spark):
+    rows = spark.createDataFrame([("b", 9, 1, False), ("a", 9, 1, False), ("c", 99, 1, True)], "title string, words bigint, chars bigint, in_store boolean")
+    assert [r["text"] for r in audit.text_report(rows).orderBy("line").collect()] == ["3 rescued, 2 of them missing", "      9  a", "      9  b"]
+    assert [r["text"] for r in audit.text_report(rows.limit(0)).collect()] == ["0 rescued, 0 of them missing"]
+    speed = store.sweep(spark.createDataFrame([(1, "wort " * 50)], "page_id bigint, text string"), levels=(3, 22)).collect()
+    assert {r["level"] for r in speed} == {3, 22} and all(r["mb_per_s"] > 0 and r["ratio"] > 5 for r in speed)
+    with pytest.raises(ValueError):
+        Options(level=20)
+
+
 DUMP = """<mediawiki><page><title>007</title><ns>0</ns><id>7</id><revision><text bytes="1">  eins &amp; zwei </text></revision><revision><text>alt</text></revision></page>
 <page><title>Ohne</title><id>8</id><revision><text>vor <ref>geheim</ref> nach</text></revision></page><page><title>Disk</title><ns>1</ns><id>9</id><revision><text>x</text></revision></page></mediawiki>"""
 
@@ -158,18 +196,31 @@ def test_sources(spark, tmp_path):
     rows = {r["title"]: r["raw"] for r in wiki.dump(spark, str(tmp_path / "d"), "*pages-articles*").collect()}
     assert rows == {"007": "  eins & zwei ", "Ohne": "vor  nach"}
     assert [r["title"] for r in wiki.dump(spark, str(tmp_path / "d"), "*pages-articles*", missing_is_main=False).collect()] == ["007"]
+    assert [p.rpartition("/")[2] for p in wiki.parts(spark, str(tmp_path / "d"))] == ["x-pages-articles1.xml.bz2"]
+    odd = "<page><title>Innen</title><id>1</id><revision><text>a <ref>b <ref>c</ref> d</ref> e <b>f</b> &lt;ref&gt;g&lt;/ref&gt; &#228;&#x1F600; <ref name='x'/>h</text></revision></page>\n<page><title>Leer</title><id>2</id><revision><text/></revision></page><page><title>Ab</title><id>3</id><revision><text>halb"
+    (tmp_path / "odd.xml").write_text(odd)
+    got = {r["title"]: r["raw"] for r in wiki.dump(spark, str(tmp_path / "odd.xml")).collect()}
+    assert got == {"Innen": "a  e f <ref>g</ref> ä😀 h", "Leer": ""}
+    assert [r["n"] for r in wiki.unreadable(spark, str(tmp_path / "odd.xml")).collect()] == [1]
     (tmp_path / "e").mkdir()
-    (tmp_path / "e" / "wiki_00.txt").write_text('<doc id="1" title="T &amp; U">\nA\nB\n</doc>\n<doc id="2">\nC\n</doc>\n')
+    (tmp_path / "e" / "wiki_00.txt").write_text('<doc id="1" title="T &amp; U">\nA\nB\n</doc>\n<doc id="2">\nC </doc> <doc>\n</doc>\n')
     got = {r["title"]: r["raw"].split() for r in wiki.extracted(spark, str(tmp_path / "e")).collect()}
-    assert got == {"T &amp; U": ["A", "B"], "wiki_00": ["C"]}
+    assert got == {"T &amp; U": ["A", "B"], "wiki_00": ["C", "</doc>", "<doc>"]}
 
 
 def test_build_and_stream(spark, tmp_path):
     rows = pages(spark, [(f"Seite {i}", f"[[Seite {i // 2}]] " + PROSE + f" mehr{i}") for i in range(30)])
     built = build.corpus(rows, Options(chunk_size=7))
-    build.publish(built, str(tmp_path / "out"))
-    assert build.published(spark, str(tmp_path / "out")) and not build.published(spark, str(tmp_path / "none"))
-    assert spark.read.parquet(str(tmp_path / "out" / "articles")).count() == 30
+    out = str(tmp_path / "out")
+    build.publish(built, out)
+    first = build.published(spark, out)
+    assert first and not build.published(spark, str(tmp_path / "none"))
+    (tmp_path / "out" / "v000002" / "articles").mkdir(parents=True)  # a publish that stopped half way
+    assert build.published(spark, out) == first and build.opened(spark, out)["articles"].count() == 30
+    build.publish(built, out)
+    assert build.published(spark, out).endswith("v000003") and set(build.opened(spark, out)) == {"articles", "chunks", "postings", "vocabulary", "deletes", "degrees"}
+    with pytest.raises(FileNotFoundError):
+        build.opened(spark, str(tmp_path / "none"))
     rows.write.parquet(str(tmp_path / "in"))
     for _ in range(2):  # the second call finds nothing new
         ingest.ingest(ingest.pages(spark, str(tmp_path / "in")), str(tmp_path / "stream"), str(tmp_path / "state")).awaitTermination()
