@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,6 +10,9 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.stage import drop_staged as drop_stored  # noqa: F401
+from ..plans.stage import staged as stored  # noqa: F401
+
 #: ASCII lower-casing as a bytes.translate table; other bytes stay.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: ASCII lower-casing, and every ASCII byte that is neither letter nor digit becomes a space.
@@ -27,33 +28,6 @@ def crc_mod(id_col: str | Column, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary") if isinstance(id_col, str) else id_col.cast("string").cast("binary")) % modulus
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; a folder of our own only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="prosemill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
-    """df, written once as Parquet in the shared folder and read back: a cut in the lineage that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/prosemill/{tag}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_path = path
-    return out
-
-
-def drop_stored(df: DataFrame) -> None:
-    """Deletes what stored() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

@@ -1,8 +1,13 @@
 """Word shingles of whole texts: hashes, SimHash bits, and near pairs by exact Jaccard similarity.
 
-Texts of equal shingle sets are one node.  Two sets whose similarity is `least` or more share a shingle among the first
-n - ceil(least x n) + 1 of each, in any order that holds for all sets; the order used here puts shingles that a sample
-of texts repeats last, which changes how large the groups are, but no result.
+Texts of equal shingle sets are one node.  A node stands under its KEYS shingles of least hash.  Of the KEYS least
+shingles of two sets' union each is in both with the sets' similarity as probability, so sets of similarity 0.8 fail to
+meet once in ten million.  Nodes that meet are compared by SimHashes of 1,024 bits inside the task, which a pair of that
+similarity fails once in thirty thousand, one of 0.83 once in a hundred million; what is left is compared by the whole sets.
+
+A crowded shingle, as of a passage that many texts share, is split by the nodes' SimHashes: each stands under its 16-bit
+segments and these with one set bit cleared.  A pair of similarity 0.8 that meets under crowded shingles only meets there
+with a probability of 0.9999.
 """
 
 from __future__ import annotations
@@ -10,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from fractions import Fraction
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -22,12 +28,12 @@ from .common import LOWER, as_bytes, drop_stored, slices, stored, whole_keys
 from .graph import components
 
 SEED = 42
-#: Words of 64 bits in a wide fingerprint.
-WIDE = 4
-#: Sets of fewer shingles are compared whatever their fingerprints: a few shingles' bits don't follow the law of many.
-FEW = 32
-#: Texts sampled, repetitions in them and number of the shingles that come last; no result depends on them.
-SAMPLED, REPEATED, MOST_REPEATED = 20_000, 8, 200_000
+#: Words of 64 bits in a wide fingerprint; shingles that a node stands under.
+WIDE, KEYS = 16, 10
+#: From that number of shingles on, the share of differing bits follows the law of many.
+LARGE = 64
+#: A shingle is crowded if more nodes than that stand under it.  Crowded shingles up to MOST_BROADCAST are broadcast.
+CROWDED, MOST_BROADCAST = 16384, 500_000
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -70,11 +76,27 @@ def wide(grams: np.ndarray) -> np.ndarray:
     return majority(np.stack(out, axis=1))
 
 
-def most_bits(least: Fraction) -> int:
-    """Differing bits of wide fingerprints up to which sets of that similarity may go: the share of differing bits of two
-    sets is the angle between them over pi, which is greatest for sets of equal size; and five standard deviations."""
-    share = math.acos(2 * least / (1 + least)) / math.pi
-    return math.ceil(64 * WIDE * share + 5 * math.sqrt(64 * WIDE * share * (1 - share)))
+def _differ(n: int, m: int, both: int) -> float:
+    """Probability that a bit of the SimHashes of two sets of n and m shingles differs, `both` of which they share."""
+    tail = lambda k, least: sum(math.comb(k, x) for x in range(max(0, least), k + 1)) / 2**k
+    total = 0.0
+    for ones in range(both + 1):
+        p, q = tail(n - both, n // 2 + 1 - ones), tail(m - both, m // 2 + 1 - ones)
+        total += math.comb(both, ones) / 2**both * (p * (1 - q) + q * (1 - p))
+    return total
+
+
+@lru_cache
+def most_bits(least: Fraction) -> np.ndarray:
+    """Differing bits of wide fingerprints up to which sets of that similarity may go, by the number of shingles of the
+    smaller, LARGE standing for all above: the greatest share of differing bits, counted out for small sets, for large ones
+    the angle between them over pi, which is greatest for sets of equal size; and four standard deviations."""
+    shares = [1.0]
+    for n in range(1, LARGE):
+        sizes = [(m, math.ceil(least * (n + m) / (1 + least))) for m in range(n, int(n / least) + 1)]
+        shares.append(max([0.0, *(_differ(n, m, both) for m, both in sizes if both <= n)]))
+    shares.append(max(shares[-1], math.acos(2 * least / (1 + least)) / math.pi))
+    return np.array([math.ceil(64 * WIDE * x + 4 * math.sqrt(64 * WIDE * x * (1 - x))) for x in shares])
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
@@ -87,48 +109,30 @@ def node_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), SEED)).view(np.int64))
 
 
-def repeated(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles, ascending, that many texts of a sample hold, and how many hold them."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            grams = [shingles(t, size) for t in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64))], names=["gram"])
-
-    share = max(1, docs.count() // SAMPLED)
-    texts = docs.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select("id", "text")
-    found = texts.mapInArrow(run, "gram bigint").groupBy("gram").agg(F.count("*").alias("n"))
-    rows = found.where(F.col("n") >= REPEATED).orderBy(F.desc("n"), "gram").limit(MOST_REPEATED).toPandas()
-    grams = rows["gram"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(grams)
-    return grams[order], rows["n"].to_numpy(np.int64)[order]
-
-
-def measured(docs: DataFrame, size: int, least: Fraction) -> DataFrame:
-    """(id, digest, node, n, fp, wide, prefix) of docs (id, text, digest): a text's set, its size and fingerprints, and the
-    shingles one of which every set that is near enough has in its own prefix."""
-    late, often = repeated(docs, size)
-
-    def prefix(grams: np.ndarray) -> np.ndarray:
-        n = len(grams)
-        if not n:
-            return grams
-        rank = np.zeros(n, np.int64)
-        if len(late):
-            at = np.minimum(np.searchsorted(late, grams), len(late) - 1)
-            rank = np.where(late[at] == grams, often[at], 0)
-        return grams[np.lexsort((grams, rank))][: n + (-n * least.numerator // least.denominator) + 1]
+def measured(docs: DataFrame, size: int) -> DataFrame:
+    """(id, digest, node, n, fp, wide, keys) of docs (id, text, digest): a text's set, its size, fingerprints and keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             sets = [shingles(t, size) for t in as_bytes(batch.column(1))]
-            firsts, fps = [prefix(s) for s in sets], [wide(s) for s in sets]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)], dtype=np.int32)), pa.array(np.concatenate(firsts).view(np.int64)))
-            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([x[0] for x in fps]).view(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "digest", "node", "n", "fp", "wide", "prefix"])
+            fps = [wide(s) for s in sets]
+            keys = pa.array([s[:KEYS].view(np.int64) for s in sets], pa.list_(pa.int64()))
+            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([x[0] for x in fps]).view(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), keys]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "digest", "node", "n", "fp", "wide", "keys"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "digest").mapInArrow(run, f"id {kind}, digest string, node bigint, n bigint, fp bigint, wide binary, prefix array<bigint>")
+    return docs.select("id", "text", "digest").mapInArrow(run, f"id {kind}, digest string, node bigint, n bigint, fp bigint, wide binary, keys array<bigint>")
+
+
+def posts(nodes: DataFrame, most: int) -> DataFrame:
+    """(gram, node) of nodes (node, wide, keys): the groups in which nodes meet; crowded ones split."""
+    rows = nodes.select("node", "wide", F.explode("keys").alias("gram"))
+    crowded = stored(rows.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram"), "crowded-shingles")
+    broadcast = crowded.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    rows = rows.join(crowded.withColumn("many", F.lit(True)).hint("broadcast" if broadcast else "merge"), "gram", "left")
+    segment = f"transform(sequence(0, {4 * WIDE - 1}), i -> struct(i, cast(conv(hex(substring(wide, 2 * i + 1, 2)), 16, 10) as int) as h))"
+    variants = "flatten(transform({0}, s -> transform(concat(array(0), transform(filter(sequence(0, 15), p -> (s.h & shiftleft(1, p)) != 0), p -> shiftleft(1, p))), m -> xxhash64(gram, s.i, s.h ^ m))))".format(segment)
+    return rows.select("node", F.explode(F.expr(f"if(many, {variants}, array(gram))")).alias("gram"))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: Fraction) -> DataFrame:
@@ -149,11 +153,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, lea
     return out
 
 
-def _may_be_near(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, least: Fraction, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _may_be_near(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, least: Fraction, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether sets of n and m shingles with fingerprints x and y can be near enough, and the bits that differ."""
     low, high = np.minimum(n, m), np.maximum(n, m)
     differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-    return (low * least.denominator >= high * least.numerator) & ((differ <= bits) | (low < FEW)), differ
+    return (low * least.denominator >= high * least.numerator) & (differ <= bits[np.minimum(low, LARGE)]), differ
 
 
 def _steps(gram: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -203,9 +207,7 @@ def nearest(groups: DataFrame, least: Fraction, heads: bool) -> DataFrame:
 
 
 def all_pairs(groups: DataFrame, least: Fraction) -> DataFrame:
-    """(a, b): all pairs of nodes of different components that can be near enough by size, fingerprint and by what they
-    share of their prefixes: the set whose prefix ends first can share no more than what its prefix does and all that
-    comes after it."""
+    """(a, b): all pairs of nodes of different components that can be near enough by size and fingerprint."""
     bits = most_bits(least)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,48 +215,41 @@ def all_pairs(groups: DataFrame, least: Fraction) -> DataFrame:
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for i, j in _steps(gram, root):
                 near, _ = _may_be_near(n[i], n[j], fp[i], fp[j], least, bits)
-                found.append((i[near], j[near]))
-            left, right = (np.concatenate(x) for x in zip(*found, strict=True))
-            swap = node[left] > node[right]
-            left, right = np.where(swap, right, left), np.where(swap, left, right)
-            order = np.lexsort((node[right], node[left]))
-            left, right = left[order], right[order]
-            begin = np.flatnonzero(np.r_[True, (node[left][1:] != node[left][:-1]) | (node[right][1:] != node[right][:-1])][: len(left)])
-            shared = np.diff(np.r_[begin, len(left)])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (node[left[begin]], node[right[begin]], n[left[begin]], n[right[begin]], shared)], names=["a", "b", "n", "m", "shared"])
-
-    num, den = least.numerator, least.denominator
-    up = lambda x, by: f"(({x}) + {by - 1}) div {by}"
-    need = f"{up(f'{num} * (n + m)', num + den)} - {up(f'{num} * greatest(n, m)', den)} + 1"
-    return groups.mapInArrow(run, "a bigint, b bigint, n bigint, m bigint, shared bigint").groupBy("a", "b", "n", "m").agg(F.sum("shared").alias("shared")).where(f"shared >= {need}").select("a", "b")
-
-
-def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFrame, size: int, least: Fraction) -> DataFrame:
+                found.append((node[i[near]], node[j[near]]))
+            pairs = np.unique(np.sort(np.stack([np.concatenate(x) for x in zip(*found, strict=True)], axis=1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return groups.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFrame, size: int, least: Fraction, crowded: int = CROWDED) -> DataFrame:
     """(a, b): verified links that connect all nodes near enough to each other.  rows: measured(), stored, dropped when
     read; nodes: (node, id, digest); first: (a, b), pairs to try before any other.
 
-    Pairs are tried in the order in which they join most nodes for one comparison: `first`; each node with the
-    nearest head of its groups; each with the nearest member; then all that can be near and still lie in different
-    components."""
+    Pairs are tried in the order in which they join most nodes for one comparison: `first`, and each node with the nearest
+    head of its groups; each with the nearest member of another component; then all that can be near and still lie in
+    different components."""
     deal = lambda df: df.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram")
-    of_node = rows.join(nodes.select("node", "id", "digest"), ["node", "id", "digest"], "left_semi").dropDuplicates(["node"])
-    group = Window.partitionBy("gram")
-    posts = deal(of_node.select("node", F.explode("prefix").alias("gram"))).select("gram", "node", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("high"))
-    shared = stored(posts.where("low != high").select("gram", "node"), "shared-shingles")
-    about = stored(of_node.select("node", "n", "wide"), "set-sizes")
+    of_node = stored(rows.join(nodes.select("node", "id", "digest"), ["node", "id", "digest"], "left_semi").select("node", "n", "wide", "keys").dropDuplicates(["node"]), "node-sets")
     drop_stored(rows)
-    links = verified(stored(first, "first-pairs"), nodes, docs, size, least)
-
-    def groups() -> DataFrame:
-        """Of the groups that span several components: (gram, node, n, root, wide), dealt and sorted by gram."""
-        rooted = about.join(components(links).distinct(), "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), "wide")
-        full = deal(shared.join(rooted, "node")).select("*", F.min("root").over(group).alias("low"), F.max("root").over(group).alias("high")).where("low != high")
+    group = Window.partitionBy("gram")
+    met = deal(posts(of_node, crowded)).select("gram", "node", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("high"))
+    shared = stored(met.where("low != high").select("gram", "node"), "shared-shingles")
+
+    def groups(links: DataFrame | None) -> DataFrame:
+        """(gram, node, n, root, wide), dealt and sorted by gram; with links only of groups that span several components."""
+        if links is None:
+            full = deal(shared.join(of_node.select("node", "n", F.col("node").alias("root"), "wide"), "node"))
+        else:
+            rooted = of_node.select("node", "n", "wide").join(components(links).distinct(), "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), "wide")
+            full = deal(shared.join(rooted, "node")).select("*", F.min("root").over(group).alias("low"), F.max("root").over(group).alias("high")).where("low != high")
         return full.select("gram", "node", "n", "root", "wide").sortWithinPartitions("gram")
 
-    for heads in (True, False):
-        tried = stored(nearest(groups(), least, heads), "nearest-pairs")
-        links = stored(links.unionByName(verified(tried, nodes, docs, size, least)), "near-pairs")
-    rest = stored(all_pairs(groups(), least), "further-pairs")
+    links = None
+    for found in (lambda: first.unionByName(nearest(groups(None), least, heads=True)), lambda: nearest(groups(links), least, heads=False), lambda: all_pairs(groups(links), least)):
+        tried = stored(found(), "tried-pairs")
+        near = verified(tried, nodes, docs, size, least)
+        links = near if links is None else stored(links.unionByName(near), "near-pairs")
     drop_stored(shared)
-    drop_stored(about)
-    return links.unionByName(verified(rest, nodes, docs, size, least))
+    drop_stored(of_node)
+    return links

@@ -158,11 +158,11 @@ def near_texts(docs: DataFrame, shingle: int = 5, least: Fraction = Fraction(4,
     digest, that is reachable over links of similarity `least` or more between whole texts' sets of shingles.
 
     That similarity allows some ten of 64 bits to differ, too many for segments that tell texts apart.  So the
-    deletion-variant signatures give the pairs within three bits; wider ones are met by shingles of which near sets must
-    share one, and compared by SimHashes of 256 bits, which a pair of that similarity fails once in three million; all
-    links are verified on the whole sets.  Null and wordless texts are one set."""
+    deletion-variant signatures give the pairs within three bits; wider ones meet under a few shingles, are compared by
+    longer SimHashes, and all links are verified on the whole sets: see shingles.  Of pairs of similarity 0.8 one
+    in thirty thousand is missed, of nearer ones far fewer.  Null and wordless texts are one set."""
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest_of(F.col(text_col)).alias("digest"))
-    rows = stored(measured(texts, shingle, least), "shingle-prefixes")
+    rows = stored(measured(texts, shingle), "shingle-sets-measured")
     of = stored(rows.select("id", "digest", "node"), "nodes")
     least_row = F.min(F.struct("id", "digest"))
     nodes = stored(rows.groupBy("node").agg(least_row.alias("row"), F.min("fp").alias("fp")).select("node", "row.id", "row.digest", "fp"), "nodes")

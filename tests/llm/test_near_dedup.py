@@ -6,8 +6,9 @@ from fractions import Fraction
 
 import corpus_pipeline as pipeline
 import numpy as np
-from prosemill.llm import shingles, simhash
+from prosemill.llm import common, graph, shingles, simhash
 from prosemill.llm.common import table
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.01"
 
@@ -81,10 +82,31 @@ def test_random_edits_against_all_pairs(spark):
     assert {r["doc_id"] for r in simhash.deduplicated(docs).collect()} == left
 
 
+def test_crowded_shingles_are_split(spark):
+    """A passage in every text makes its shingles crowded; near pairs still meet, few others do."""
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(120)]
+    texts = {}
+    for n in range(0, 120, 2):
+        words = [f"u{rng.randrange(10**9)}" for _ in range(120)]
+        texts[n] = " ".join(words + passage)
+        texts[n + 1] = " ".join(words[:110] + passage)
+    docs = spark.createDataFrame([(i, t, "") for i, t in texts.items()], "id bigint, text string, digest string")
+    nodes = shingles.measured(docs, 5).select("node", "wide", "keys")
+    sizes = lambda most: [r["n"] for r in shingles.posts(nodes, most).groupBy("gram").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes(1000)) > 40 > 20 > max(sizes(16))
+    rows = common.stored(shingles.measured(docs, 5), "measured")
+    known = common.stored(rows.select("node", "id", "digest"), "nodes")
+    found = shingles.near_links(rows, known, docs, known.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), 5, Fraction(4, 5), crowded=16)
+    roots = {r["node"]: r["root"] for r in graph.components(found).collect()}
+    of = {r["id"]: roots.get(r["node"]) for r in known.collect()}
+    assert all(of[n] is not None and of[n] == of[n + 1] for n in range(0, 120, 2)) and len(set(of.values())) == 60
+
+
 def test_majority_counts_every_row():
     rng = np.random.default_rng(3)
     for n in (1, 2, 3, 10, 1000, 9001):
-        rows = rng.integers(0, 1 << 64, size=(n, 4), dtype=np.uint64)
+        rows = rng.integers(0, 1 << 64, size=(n, 8), dtype=np.uint64)
         bits = np.unpackbits(rows.view(np.uint8).reshape(n, -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         assert (shingles.majority(rows) == np.packbits(2 * bits > n, bitorder="little").view(np.uint64)).all()
 
@@ -92,9 +114,14 @@ def test_majority_counts_every_row():
 def test_wide_fingerprints_of_near_sets_stay_within_the_bound():
     rng = np.random.default_rng(4)
     most = shingles.most_bits(Fraction(4, 5))
-    for n in (32, 100, 1000):
-        for _ in range(200):
-            grams = rng.integers(0, 1 << 64, size=n + n // 8, dtype=np.uint64)
-            x, y = shingles.wide(grams[:n]), shingles.wide(grams[n // 8 - n // 72 :])
-            shared = n - (n // 8 - n // 72)
-            assert shared * 5 < 4 * (len(grams) + n - n // 8 - shared) or np.bitwise_count(x ^ y).sum() <= most
+    tried = 0
+    for n in (4, 5, 12, 13, 20, 32, 63, 64, 100, 1000):
+        for m in range(n, n * 5 // 4 + 1):
+            both = -(-4 * (n + m) // 9)
+            if both > n or m > n + 30:
+                continue
+            for _ in range(20):
+                grams = rng.integers(0, 1 << 64, size=n + m - both, dtype=np.uint64)
+                tried += 1
+                assert np.bitwise_count(shingles.wide(grams[:n]) ^ shingles.wide(grams[n - both :])).sum() <= most[min(n, shingles.LARGE)]
+    assert tried > 1000
