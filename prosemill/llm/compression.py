@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 import numpy as np
 import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 class Dictionaries:
@@ -32,8 +34,25 @@ class Dictionaries:
         return [sum(map(len, map(compress, blocks))) for compress in self._compress]
 
 
+def collected(found: DataFrame, group: str, limit: int, fold: str = "0") -> list[tuple]:
+    """(group, _rank, text) of found's rows, whole, sorted: in each group and fold the rows of least rank that together
+    reach `limit` bytes.  So the driver gets `limit` bytes and one text of each at most."""
+    sizes = found.groupBy(group, "_rank", F.expr(fold).alias("fold")).agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    have: dict[tuple, int] = {}
+    wanted = []
+    for r in sorted(sizes, key=lambda r: r["_rank"]):
+        key = (r[group], r["fold"])
+        if have.get(key, 0) < limit:
+            have[key] = have.get(key, 0) + r["bytes"]
+            wanted.append((r[group], r["_rank"]))
+    if not wanted:
+        return []
+    few = found.sparkSession.createDataFrame(wanted, found.select(group, "_rank").schema)
+    return sorted(map(tuple, found.join(F.broadcast(few), [group, "_rank"]).select(group, "_rank", "text").collect()))
+
+
 def content(pieces: Iterable[bytes], limit: int) -> bytes:
-    """Distinct pieces, one after another, up to `limit` bytes."""
+    """Distinct texts, one after another, until they have `limit` bytes."""
     out, size = [], 0
     for piece in dict.fromkeys(pieces):
         if size >= limit:

@@ -4,12 +4,13 @@ x = (size under bad - size under good) / bytes of the text, over the whole text
 regression turns x into the probability of label 1.  A text that repeats itself gains from neither dictionary, so x
 is near 0; clean prose gains from the good one.  Lines that several sampled texts share stay out of the dictionaries.
 
-Training takes a bounded sample of labelled rows: of each label `per_label` texts of least md5(id), whose middle
-`piece` characters make the label's dictionary.  The regression is fitted on `calibration_docs` of each, their middle
-`calibration_chars` characters, in two folds: each half is measured with dictionaries of the other half.  It is weighted
-to the labels' frequencies in the whole table.  Null ids, texts and labels are not learned from; where a
-document has several labels each counts.  A prediction sees nothing but the text; null and empty texts have x = 0.
-Without labelled rows of both kinds every score is the share of label 1, or 0.5.
+Training takes a bounded sample of labelled rows: of each label `per_label` texts of least md5(id), whole.  A label's
+dictionary is made of whole texts in that order until it has `dictionary_bytes`.  The regression is fitted on the whole
+texts of the first `calibration_docs` of each, in two folds: each half is measured, on the executors, with dictionaries
+of the other half.  It is weighted to the labels' frequencies in the whole table.  Null ids, texts and labels are not
+learned from; where a document has several labels each counts, and repeated rows count once.  A prediction sees nothing
+but the text; null and empty texts have x = 0.  Without labelled rows of both kinds every score is the share of label 1,
+or 0.5.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, sampled_ids, slices
-from .compression import Dictionaries, calibrated, content, isotonic, logistic
+from .common import as_bytes, drop_stored, sampled_ids, slices, stored
+from .compression import Dictionaries, calibrated, collected, content, isotonic, logistic
 
 
 @dataclass(frozen=True)
@@ -49,8 +50,9 @@ class QualityModel:
         return float(self.scores(np.float64(self.feature(text))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 2000, piece: int = 400, dictionary_bytes: int = 262144, block: int = 128,
-        calibration_chars: int = 4000, calibration_docs: int = 800, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 2000, dictionary_bytes: int = 1 << 20, block: int = 128, calibration_docs: int = 800,
+        id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
+    spark = docs.sparkSession
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)").where(learn).distinct()
     share = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(share) < 2:
@@ -58,33 +60,35 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 2000
         return QualityModel(None, 0.0, float(np.log(p / (1 - p))))
     ids = sampled_ids(marked, "id", "label", per_label, share)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    middle = lambda n: F.expr(f"substring(text, greatest(1, cast(length(text) / 2 - {n // 2} as int)), {n})")
-    found = texts.join(F.broadcast(ids), "id").select("label", "_rank", middle(piece).alias("piece"), F.when(F.col("_rank") <= calibration_docs, middle(calibration_chars)).alias("text"))
-    rows = sorted(found.distinct().collect(), key=lambda r: (r["label"], r["_rank"], r["piece"]))
+    found = stored(texts.join(F.broadcast(ids), "id").select("label", "_rank", "text").distinct(), "labelled-texts")
+    rows = collected(found, "label", dictionary_bytes, fold="_rank % 2")
+    lines = Counter(line for text in {text for _, _, text in rows} for line in set(text.split("\n")))
 
-    lines = Counter(line for piece in {r["piece"] for r in rows} for line in set(piece.split("\n")))
-
-    def own(piece: str) -> bytes:
+    def own(text: str) -> bytes:
         """Without lines that several texts share: they tell nothing of a text's quality."""
-        return "\n".join(line for line in piece.split("\n") if lines[line] == 1).encode()
+        return "\n".join(line for line in text.split("\n") if lines[line] == 1).encode()
 
     def dictionaries(fold: int | None) -> Dictionaries | None:
         """Of the rows outside the fold; of like size, so that neither helps by its length."""
-        parts = [content((own(r["piece"]) for r in rows if r["label"] == label and r["_rank"] % 2 != fold), dictionary_bytes) for label in (0, 1)]
+        parts = [content((own(text) for of, rank, text in rows if of == label and rank % 2 != fold), dictionary_bytes) for label in (0, 1)]
         least = max(4096, min(map(len, parts)))
         return Dictionaries({"bad": parts[0][:least], "good": parts[1][:least]}, block) if all(parts) else None
 
-    x, y = [], []
-    for fold in (0, 1):
-        draft = QualityModel(dictionaries(fold), 1.0, 0.0)
-        for r in rows:
-            if draft.dictionaries is not None and r["text"] is not None and r["_rank"] % 2 == fold:
-                x.append(draft.feature(r["text"].encode()))
-                y.append(float(r["label"]))
+    drafts = [QualityModel(dictionaries(fold), 1.0, 0.0) for fold in (0, 1)]
     whole = dictionaries(None)
+    shared = spark.sparkContext.broadcast(drafts)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2):
+            ranks, texts = batch.column(1).to_pylist(), as_bytes(batch.column(2))
+            x = [shared.value[rank % 2].feature(text) if shared.value[rank % 2].dictionaries else None for rank, text in zip(ranks, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.float64())], names=["label", "x"])
+
+    seen = sorted(map(tuple, found.where(F.col("_rank") <= calibration_docs).mapInArrow(run, "label int, x double").where("x is not null").collect()))
+    drop_stored(found)
+    x, y = np.array([x for _, x in seen], float), np.array([label for label, _ in seen], float)
     if whole is None or len(set(y)) < 2:
         return QualityModel(None, 0.0, float(np.log((share[1] + 1) / (share[0] + 1))))
-    x, y = np.array(x), np.array(y)
     weight = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum())
     weight *= len(y) / weight.sum()
     rise, level = isotonic(x, y, weight)
