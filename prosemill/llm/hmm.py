@@ -10,12 +10,12 @@ one slot for words not seen; so the vocabulary may grow without bound while the
 Passes: (0) words are counted, in each task by a table of bounded size, and over all tasks by a shuffle, for the own
 words; (1) texts become blocks of word numbers plus, per block and bucket of word hashes, the block's words with
 their training counts; (2) each bucket sums its words' counts over all blocks and answers each block, and gives the
-classes' totals; (3) Baum-Welch: every iteration sums expected counts over all blocks, one set of partial sums per
-partition; (4) each block meets its answers and is scored by the scaled forward recursion.  Nothing of the
-vocabulary is broadcast or collected.  Words are keyed by their 64-bit XXH64.
-
-Only where Baum-Welch starts from is found on a bounded sample: the middle `sample_chars` characters each of `sample_docs`
-training texts of least md5(id).  All counts, the list of own words and the re-estimates use all texts, whole.
+classes' totals; (3) states start as a mixture of unigrams, drawn around the classes' shares and fitted by EM; (4)
+Baum-Welch re-estimates them until a round raises the log likelihood by less than `tolerance` a token, `iterations`
+times at most; (5) each block meets its answers and is scored by the scaled forward recursion.  Every round of (3) and
+(4) sums expected counts over all training texts, whole, one set of partial sums per partition.  Nothing of the
+vocabulary is broadcast or collected.  Words are keyed by their 64-bit XXH64; there are as many buckets as the bytes of the
+texts need, so that a bucket's size doesn't grow with the corpus.
 
 Null or empty text: the end token alone.  A null id is held out.  Repeated rows are scored, and learned, as often
 as they occur.  Without training texts every token is unseen and the chain is uniform.
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import count
 
@@ -104,8 +104,13 @@ def forward(chain: Chain, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def expected(chain: Chain, pieces: Pieces) -> np.ndarray:
     """Expected counts (start, steps, emissions), flat, of the texts: the sums that Baum-Welch re-estimates from."""
+    return expectation(chain, pieces)[0]
+
+
+def expectation(chain: Chain, pieces: Pieces) -> tuple[np.ndarray, float]:
+    """expected(), and the log likelihood of the texts."""
     states, classes = len(chain.start), len(chain.emit)
-    _, before, product = forward(chain, pieces)
+    total, before, product = forward(chain, pieces)
     after, end = np.ones((pieces.texts, states)), np.empty_like(before)
     for turn in pieces.turns[::-1]:
         of = pieces.text[turn]
@@ -136,7 +141,27 @@ def expected(chain: Chain, pieces: Pieces) -> np.ndarray:
     for t, n in enumerate(pieces.active):
         for k in range(states):
             emitted[:, k] += np.bincount(pieces.table[:n, t], weights=ahead[t + 1, :n, k], minlength=classes)
-    return np.concatenate([first, steps.ravel(), emitted.ravel()])
+    return np.concatenate([first, steps.ravel(), emitted.ravel()]), float(total.sum())
+
+
+def mixture(weight: np.ndarray, emit: np.ndarray, sequence: np.ndarray, sizes: np.ndarray, at_once: int = 1024) -> tuple[np.ndarray, float]:
+    """Expected counts (texts, emissions), flat, of texts that each are of one state, and their log likelihood."""
+    classes, states = emit.shape
+    logs, texts, emitted, total = np.log(emit), np.zeros(states), np.zeros((classes, states)), 0.0
+    edge = np.r_[0, np.cumsum(sizes)]
+    for i in range(0, len(sizes), at_once):
+        n = min(at_once, len(sizes) - i)
+        part = sequence[edge[i] : edge[i + n]].astype(np.int64) + np.repeat(np.arange(n) * classes, sizes[i : i + n])
+        bags = np.bincount(part, minlength=n * classes).reshape(n, classes).astype(float)
+        score = bags @ logs + np.log(weight)
+        top = score.max(axis=1, keepdims=True)
+        share = np.exp(score - top)
+        mass = share.sum(axis=1, keepdims=True)
+        total += float((np.log(mass) + top).sum())
+        share /= mass
+        texts += share.sum(axis=0)
+        emitted += bags.T @ share
+    return np.concatenate([texts, emitted.ravel()]), total
 
 
 def reestimated(sums: np.ndarray, chain: Chain) -> Chain:
@@ -174,36 +199,6 @@ def frequent_words(rows: DataFrame, own: int, most: int = MOST_COUNTED) -> list[
     return [bytes(r["word"]) for r in counted.orderBy(F.col("n").desc(), "word").limit(own).collect()]
 
 
-def sample_start(texts: list[list[bytes]], classes: dict[bytes, int], states: int, own: int, hashed: int, rounds: int, seed: int = 7) -> Chain:
-    """States from a mixture of unigrams, refined by Baum-Welch on the sample."""
-    size = 1 + own + hashed
-    rows = [np.array([classes.get(w) or ending(w, own, hashed) for w in t] + [END], np.int64) for t in texts] or [np.zeros(1, np.int64)]
-    bags = np.stack([np.bincount(r, minlength=size) for r in rows]).astype(float)
-    rng = np.random.default_rng(seed)
-    share = (bags.sum(axis=0) + 0.5) / (bags.sum() + 0.5 * size)
-    seeds = [int(rng.integers(len(bags)))]  # spread: each further seed is the text least like those before
-    unit = np.sqrt(bags / bags.sum(axis=1, keepdims=True))
-    while len(seeds) < states:
-        like = (unit @ unit[seeds].T).max(axis=1) - 0.02 * np.minimum(bags.sum(axis=1), 50) / 50
-        seeds.append(int(np.argmin(like)))
-    emit = (bags[seeds] + 20 * share).T
-    emit /= emit.sum(axis=0)
-    weight = np.full(states, 1 / states)
-    for _ in range(15):
-        score = bags @ np.log(emit) + np.log(weight)
-        score = np.exp(score - score.max(axis=1, keepdims=True))
-        score /= score.sum(axis=1, keepdims=True)
-        weight = (score.sum(axis=0) + 1) / (score.sum() + states)
-        emit = bags.T @ score + 2 * share[:, None]
-        emit /= emit.sum(axis=0)
-    chain = Chain(weight, 0.8 * np.eye(states) + 0.2 * weight, emit)
-    chain = Chain(chain.start, chain.step / chain.step.sum(axis=1, keepdims=True), chain.emit)
-    pieces = Pieces(np.concatenate(rows), np.array([len(r) for r in rows]))
-    for _ in range(rounds):
-        chain = reestimated(expected(chain, pieces), chain)
-    return chain
-
-
 def _pack(array: np.ndarray, kind: type) -> bytes:
     return np.ascontiguousarray(array, kind).tobytes()
 
@@ -265,7 +260,7 @@ def _blocks(rows: DataFrame, classes, own: int, hashed: int, buckets: int, block
     return rows.mapInArrow(run, schema)
 
 
-def _answers(words: DataFrame, classes: int) -> DataFrame:
+def _answers(words: DataFrame, classes: int, buckets: int) -> DataFrame:
     """Per bucket: for each block its words' counts over all blocks (kind 'block'), and the classes' numbers of
     distinct and of all training words (kind 'totals')."""
 
@@ -282,7 +277,7 @@ def _answers(words: DataFrame, classes: int) -> DataFrame:
         bucket = group.column("bucket")[0].as_py()
         return pa.table({"kind": ["block"] * len(blocks) + ["totals"], "block": pa.array([*blocks, -1], pa.int64()), "bucket": pa.array([bucket] * (len(blocks) + 1), pa.int32()), "reply": pa.array([*replies, _pack(sums, np.int64)], pa.binary())})
 
-    return words.select("bucket", "block", "words", "counts", "classes").groupBy("bucket").applyInArrow(run, "kind string, block bigint, bucket int, reply binary")
+    return words.select("bucket", "block", "words", "counts", "classes").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, "kind string, block bigint, bucket int, reply binary")
 
 
 def _unpacked(ids: list, sizes: list, words: bytes, classes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -294,54 +289,80 @@ def _unpacked(ids: list, sizes: list, words: bytes, classes: bytes) -> tuple[np.
     return numbers, sequence, sizes + 1
 
 
-def _iteration(texts: DataFrame, chain: Chain) -> Chain:
-    """One Baum-Welch iteration over all training texts: partial sums per partition, summed by Spark."""
-    size = len(chain.start) * (1 + len(chain.start) + len(chain.emit))
-    shared = texts.sparkSession.sparkContext.broadcast(chain)
+def _summed(texts: DataFrame, model: object, size: int, sums_of: Callable) -> tuple[np.ndarray, float]:
+    """Over all training texts of the blocks: the sums of sums_of(model, class sequence, sizes), and the log likelihood.
+    A task passes on one row per number; a block is worked on at a time."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, seen = np.zeros(size), False
+        sums, seen = np.zeros(size + 1), False
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, held, sizes, words, classes = (batch.column(c)[row].as_py() for c in range(5))
                 _, sequence, sizes = _unpacked(ids, sizes, words, classes)
                 learn = ~np.array(held, bool)
                 if learn.any():
-                    sums += expected(shared.value, Pieces(sequence[np.repeat(learn, sizes)], sizes[learn]))
+                    found, likelihood = sums_of(shared.value, sequence[np.repeat(learn, sizes)], sizes[learn])
+                    sums[:-1] += found
+                    sums[-1] += likelihood
                     seen = True
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(sums)], names=["i", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1, dtype=np.int32)), pa.array(sums)], names=["i", "x"])
 
     rows = texts.select("ids", "held", "sizes", "words", "classes").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-    sums = np.zeros(size)
+    sums = np.zeros(size + 1)
     for r in rows:
         sums[r["i"]] = r["x"]
-    return reestimated(sums, chain) if rows else chain
+    return sums[:-1], float(sums[-1])
+
+
+def trained(texts: DataFrame, totals: np.ndarray, states: int, mixture_rounds: int, iterations: int, tolerance: float, seed: int = 7) -> tuple[Chain, list[float]]:
+    """The chain after all rounds over the blocks' training texts, and the log likelihood a token before each Baum-Welch
+    round.  totals: training tokens by class, more than none."""
+    classes, tokens = len(totals), totals.sum()
+    share = (totals + 0.5) / (tokens + 0.5 * classes)
+    emit = share[:, None] * np.exp(np.random.default_rng(seed).normal(size=(classes, states)))
+    weight, emit = np.full(states, 1 / states), emit / emit.sum(axis=0)
+    for _ in range(mixture_rounds):
+        sums, _ = _summed(texts, (weight, emit), states * (1 + classes), lambda model, sequence, sizes: mixture(*model, sequence, sizes))
+        weight = (sums[:states] + 1) / (sums[:states].sum() + states)
+        emit = sums[states:].reshape(classes, states) + 2 * share[:, None]
+        emit /= emit.sum(axis=0)
+    chain, likelihoods = Chain(weight, 0.8 * np.eye(states) + 0.2 * weight, emit), []
+    for _ in range(iterations):
+        sums, likelihood = _summed(texts, chain, states * (1 + states + classes), lambda model, sequence, sizes: expectation(model, Pieces(sequence, sizes)))
+        chain = reestimated(sums, chain)
+        likelihoods.append(likelihood / tokens)
+        if len(likelihoods) > 1 and likelihoods[-1] - likelihoods[-2] < tolerance:
+            break
+    return chain, likelihoods
 
 
-def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, hashed: int = 256, iterations: int = 2,
-          sample_docs: int = 2000, sample_chars: int = 12000, block_words: int = 1 << 19, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out: Column, states: int = 6, own: int = 767, hashed: int = 256, mixture_rounds: int = 6, iterations: int = 4, tolerance: float = 0.002,
+          block_words: int = 1 << 19, bucket_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; scores are log10 probabilities,
     base_score that of the add-0.1 unigram model, score that of the hidden Markov model."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(True)).alias("held"), F.col(text_col).alias("text"))
     classes_n = 1 + own + hashed
+    if classes_n > 1 << 16:
+        raise ValueError(f"{classes_n} classes; their numbers have 16 bits")
     own_classes = {w: i + 1 for i, w in enumerate(frequent_words(rows, own))}
-    picked = rows.where("not held and text is not null").select("id", F.md5(F.col("id").cast("string").cast("binary")).alias("k")).orderBy("k", "id").limit(sample_docs)
-    middle = F.expr(f"substring(text, greatest(1, cast(length(text) / 2 - {sample_chars // 2} as int)), {sample_chars})")
-    sample = rows.where("not held").join(F.broadcast(picked.select("id").distinct()), "id", "left_semi").select("id", middle.alias("text")).orderBy("id", "text").limit(sample_docs).collect()
-    chain = sample_start([(r["text"] or "").encode().translate(LOWER).split() for r in sample], own_classes, states, own, hashed, rounds=12)
-
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), size // bucket_bytes)
     table = stored(_blocks(rows, spark.sparkContext.broadcast(own_classes), own, hashed, buckets, block_words), "hmm-blocks", "kind")
     texts = table.where("kind = 'texts'")
-    answers = stored(_answers(table.where("kind = 'words'"), classes_n), "hmm-answers", "kind")
+    answers = stored(_answers(table.where("kind = 'words'"), classes_n, buckets), "hmm-answers", "kind")
     kinds = np.zeros((2, classes_n), np.int64)
     for r in answers.where("kind = 'totals'").select("reply").toLocalIterator():
         kinds += np.frombuffer(r["reply"], np.int64).reshape(2, classes_n)
     learned = texts.select(F.explode("held").alias("held")).where("not held").count()
-    for _ in range(iterations):
-        chain = _iteration(texts, chain)
+    totals = kinds[1].astype(float)
+    totals[END] = learned
+    if learned:
+        chain, _ = trained(texts, totals, states, mixture_rounds, iterations, tolerance)
+    else:
+        chain = Chain(np.full(states, 1 / states), np.full((states, states), 1 / states), np.full((classes_n, states), 1 / classes_n))
 
     ends, n, v = learned, int(kinds[1].sum()) + learned, int(kinds[0].sum()) + (learned > 0)
     below = np.log10(n + 0.1 * (v + 1))
