@@ -1,11 +1,14 @@
-"""Merkle fingerprints of documents: paragraphs under sections under a root, SHA-256 at every node.
+"""Merkle fingerprints of documents: leaves under paragraphs under sections under a root, hashed at every node.
 
-Sections are parted by an empty line, paragraphs by a line end, so a text and its tree determine each other: equal
-roots mean equal texts, and where two trees differ, the differing branches name the sections and paragraphs that
-were edited.  Each paragraph also has the hashes of its groups of four words, by which two trees are compared more
-finely: likeness is 1 for equal roots, else Dice's coefficient of the two texts' distinct groups.
+Sections are parted by an empty line, paragraphs by a line end, leaves by what stands in the paragraph: a leaf goes on for
+two words and then to the next word that ends in one of CUTS.  So cuts depend on the words around them alone, and an
+edit changes the leaves it touches and, after a word or two, no others, wherever in a text it lies.  A leaf's node is the
+MD5 of its characters, the others' the SHA-256 of their children's; the leaves of a text joined again are the text, so
+equal roots mean equal texts, and where two trees differ, the differing branches name the sections and paragraphs that were
+edited.  The likeness of two trees is 1 for equal roots, else Dice's coefficient of their distinct leaf nodes.
 
-All of it is DataFrame expressions.  Null text: as the empty text.  Empty tables give empty results.
+All of it is DataFrame expressions.  Null text: as the empty text, one paragraph without a leaf.  Texts without any leaf
+have likeness 0 to others.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,57 +16,70 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: One to four words of a paragraph.
-GROUP = "[^ \\n]+(?: +[^ \\n]+){0,3}"
+#: Last characters of the words that end a leaf.
+CUTS = "es.,"
+#: Two words, words that end in no cut, one that does and its space; or what is left of the paragraph.
+LEAF = rf"(?s)(?:[^ ]* ){{2}}(?:(?:[^ ]*[^ {CUTS}])? )*+[^ ]*[{CUTS}] |.+"
 CELLS = 64
 
 
-def _sha(column: Column) -> Column:
-    return F.sha2(column, 256)
+def _sha(parts: Column) -> Column:
+    return F.sha2(F.concat_ws(",", parts), 256)
 
 
-def _section(section: Column) -> Column:
-    return _sha(F.concat_ws(",", F.transform(F.split(section, "\n"), _sha)))
+def tree(text: Column) -> Column:
+    """array<struct<hash, paragraphs: array<struct<hash, leaves: array<string>>>>>: the sections of a text that isn't null."""
+    leaves = lambda p: F.transform(F.regexp_extract_all(p, F.lit(LEAF), F.lit(0)), lambda x: F.md5(x.cast("binary")))
+    paragraph = lambda found: F.struct(_sha(found).alias("hash"), found.alias("leaves"))
+    below = F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.transform(F.split(s, "\n"), leaves), paragraph))
+    return F.transform(below, lambda ps: F.struct(_sha(F.transform(ps, lambda p: p["hash"])).alias("hash"), ps.alias("paragraphs")))
 
 
-def root(text: Column) -> Column:
-    """Lower-case hex root of the tree of a text that isn't null."""
-    return _sha(F.concat_ws(",", F.transform(F.split(text, "\n\n"), _section)))
+def root(tree_: Column) -> Column:
+    """Lower-case hex."""
+    return _sha(F.transform(tree_, lambda s: s["hash"]))
 
 
-def groups(text: Column) -> Column:
-    """Distinct 64-bit hashes of the word groups."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(GROUP), F.lit(0)), lambda x: F.xxhash64(x)))
+def leaves(tree_: Column) -> Column:
+    """Distinct leaf nodes."""
+    return F.array_distinct(F.flatten(F.flatten(F.transform(tree_, lambda s: F.transform(s["paragraphs"], lambda p: p["leaves"])))))
 
 
-def likeness(root_a: Column, groups_a: Column, root_b: Column, groups_b: Column) -> Column:
-    total = F.size(groups_a) + F.size(groups_b)
-    return F.when(root_a == root_b, 1.0).when(total == 0, 0.0).otherwise(2.0 * F.size(F.array_intersect(groups_a, groups_b)) / total)
+def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
+    total = F.size(leaves_a) + F.size(leaves_b)
+    return F.when(root_a == root_b, 1.0).when(total == 0, 0.0).otherwise(2.0 * F.size(F.array_intersect(leaves_a, leaves_b)) / total)
+
+
+def differing(tree_a: Column, tree_b: Column) -> Column:
+    """array<struct<section, paragraph>>: the places, from 0, at which the trees' paragraphs differ or one has none.  Only
+    sections whose nodes differ are opened."""
+    null = F.lit(None).cast("struct<section:int,paragraph:int>")
+
+    def opened(section: Column, i: Column) -> Column:
+        x, y = section["a"], section["b"]
+        both = F.zip_with(F.coalesce(x["paragraphs"], F.array()), F.coalesce(y["paragraphs"], F.array()), lambda p, q: p["hash"].eqNullSafe(q["hash"]))
+        found = F.transform(both, lambda same, j: F.when(~same, F.struct(i.alias("section"), j.alias("paragraph"))).otherwise(null))
+        return F.when(x["hash"].eqNullSafe(y["hash"]), F.array().cast("array<struct<section:int,paragraph:int>>")).otherwise(F.filter(found, lambda f: f.isNotNull()))
+
+    return F.flatten(F.transform(F.zip_with(tree_a, tree_b, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), opened))
 
 
 def nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, section, paragraph, hash): the tree as rows; paragraph null for a section's node, both null for the root."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sections = rows.select("id", F.posexplode(F.split("text", "\n\n")).alias("section", "s"))
-    paragraphs = sections.select("id", "section", F.posexplode(F.split("s", "\n")).alias("paragraph", "p")).select("id", "section", "paragraph", _sha(F.col("p")).alias("hash"))
+    rows = docs.select(F.col(id_col).alias("id"), tree(F.coalesce(F.col(text_col), F.lit(""))).alias("tree"))
+    sections = rows.select("id", F.posexplode("tree").alias("section", "s"))
+    paragraphs = sections.select("id", "section", F.posexplode("s.paragraphs").alias("paragraph", "p")).select("id", "section", "paragraph", "p.hash")
     null = F.lit(None).cast("int")
-    return rows.select("id", null.alias("section"), null.alias("paragraph"), root(F.col("text")).alias("hash")).unionByName(sections.select("id", "section", null.alias("paragraph"), _section(F.col("s")).alias("hash"))).unionByName(paragraphs)
+    return rows.select("id", null.alias("section"), null.alias("paragraph"), root(F.col("tree")).alias("hash")).unionByName(sections.select("id", "section", null.alias("paragraph"), "s.hash")).unionByName(paragraphs)
 
 
 def edits(left: DataFrame, right: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, section, paragraph): the paragraphs by place in which two versions of the documents, matched by id, differ.
-
-    Descends level by level: only sections whose hashes differ are opened."""
-    from functools import reduce
-
-    both = [nodes(x, id_col, text_col) for x in (left, right)]
-    level = lambda x, where: x.where(where)
-    keys = ["id", "section"]
-    a, b = (level(x, "section is not null and paragraph is null").select(*keys, "hash") for x in both)
-    opened = a.withColumnRenamed("hash", "h").join(b, keys, "full").where("not (h <=> hash)").select(*keys)
-    a, b = (level(x, "paragraph is not null").join(opened, keys, "left_semi") for x in both)
-    keys = [*keys, "paragraph"]
-    return reduce(lambda x, y: x.join(y, keys, "full"), (a.withColumnRenamed("hash", "h"), b)).where("not (h <=> hash)").select(*keys)
+    """(id, section, paragraph): the paragraphs by place in which two versions of the documents, matched by id, differ; a
+    document that one side lacks differs everywhere.  Ids are unique on each side."""
+    empty = F.array().cast("array<struct<hash:string,paragraphs:array<struct<hash:string,leaves:array<string>>>>>")
+    side = lambda df, name: df.select(F.col(id_col).alias("id"), tree(F.coalesce(F.col(text_col), F.lit(""))).alias(name))
+    both = side(left, "a").join(side(right, "b"), "id", "full")
+    return both.select("id", F.inline(differing(F.coalesce("a", empty), F.coalesce("b", empty))))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
