@@ -1,14 +1,19 @@
 """URL filter: allow and block rules, and for other urls an empirical-Bayes reputation of the host.
 
-Labelled outcomes of pages (1 good, 0 bad) are counted per host.  Beta-binomial priors shrink them level by level:
-the suffix (last label of the host) towards the whole, the registered domain (last two labels) towards its suffix,
-the host towards its domain.  Each level's prior strength is the method-of-moments estimate of the overdispersion of its
-groups, (1 - rho) / rho with rho held in [0.001, 0.9] and 0.1 where it can't be estimated.  The verdict is `allow` if the host's posterior mean
-less `z` posterior standard deviations is `least` or more.
+Labelled outcomes of pages (1 good, 0 bad) are counted per host name.  Beta-binomial priors shrink them level by level: the
+registered domain towards its public suffix, the host towards its registered domain, the suffix towards the whole.  What a
+host is shrunk towards is made without its own outcomes, and its domain's prior without the domain's, so that no
+outcome counts twice.  Each level's prior strength is the method-of-moments estimate of the overdispersion of its groups,
+(1 - rho) / rho with rho held in [0.001, 0.9] and 0.1 where it can't be estimated.  The verdict is `allow` if the host's
+posterior mean less `z` posterior standard deviations is `least` or more.
+
+The host name is the host without user, port and final dot.  Its suffix is its last label, or its last two if they are
+in SUFFIXES; the registered domain has one label more.  A numeric address is its own domain and suffix.
 
 A null url, or one without `://`, has an empty host and path; it is judged by the reputation of the empty host.
-Outcomes whose id or label is null count nowhere; without any, all hosts have the prior mean 1/2.  Each page row
-gives one row.  DataFrame expressions only; host tables are joined as Spark's size checks decide.
+Outcomes whose id or label is null count nowhere, repeated ones each time; without any, all hosts have the prior mean 1/2.
+Each page row gives one row; an empty table gives none.  DataFrame expressions only; host tables are joined as Spark's
+size checks decide.
 """
 
 from __future__ import annotations
@@ -16,18 +21,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
+#: Suffixes of two labels under which names are registered.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "nhs.uk", "org.uk", "plc.uk", "sch.uk",
+    "com.au", "edu.au", "gov.au", "id.au", "net.au", "org.au", "ac.nz", "co.nz", "govt.nz", "net.nz", "org.nz",
+    "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "ac.kr", "co.kr", "go.kr", "or.kr", "com.cn", "edu.cn", "gov.cn", "net.cn", "org.cn",
+    "com.hk", "com.sg", "com.tw", "edu.tw", "org.tw", "com.my", "co.id", "or.id", "co.th", "or.th", "com.vn", "com.ph",
+    "ac.in", "co.in", "gov.in", "net.in", "org.in", "com.pk", "com.bd", "ac.il", "co.il", "org.il", "com.tr", "edu.tr", "gov.tr", "com.sa", "com.eg",
+    "ac.za", "co.za", "org.za", "co.ke", "com.ng", "com.br", "gov.br", "net.br", "org.br", "com.ar", "com.mx", "org.mx", "com.co", "com.pe", "com.ve", "com.uy",
+    "com.pl", "net.pl", "org.pl", "com.ua", "com.ru", "co.at", "or.at", "com.pt", "com.gr", "com.ro", "co.hu",
+    "blogspot.com", "github.io", "gitlab.io", "netlify.app", "pages.dev", "vercel.app", "web.app", "wordpress.com",
+)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Rules are carried in the plan, so their number has a bound.
 MOST_RULES = 10_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("`_url`")))
-    rest = F.coalesce(rest, F.lit(""))
+    at = F.instr(url, "://")
+    rest = F.coalesce(F.when(at > 0, url.substr(at + 3, F.length(url))), F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
+def name_of(host: Column) -> Column:
+    """The host without user, port and final dot."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", ""), r"\.$", "")
+
+
+def with_levels(names: DataFrame) -> DataFrame:
+    """names (host, ...) with the registered domain and the suffix of each."""
+    labels = F.split("host", r"\.")
+    last = lambda n: F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - n + 1), F.lit(n)), ".")
+    numeric = F.col("host").rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") | F.startswith(F.col("host"), F.lit("["))
+    two = last(2).isin(*SUFFIXES)
+    return names.withColumns({"domain": F.when(numeric, F.col("host")).when(two, last(3)).otherwise(last(2)), "suffix": F.when(numeric, F.col("host")).when(two, last(2)).otherwise(last(1))})
+
+
 def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]) -> Column:
     """struct(size, host_size, block, rule, verdict) of the longest rule that fits; of equally long ones that with the
     longer host, then a block."""
@@ -59,35 +91,30 @@ def _strength(groups: DataFrame) -> Column:
 
 
 def reputation(hosts: DataFrame, labelled: DataFrame, z: float) -> DataFrame:
-    """(host, n, k, posterior_mean, lower_bound) of every host, from labelled (host, n, k)."""
-    split = lambda df: df.withColumn("labels", F.split("host", r"\.")).withColumn("suffix", F.element_at("labels", -1)).withColumn("domain", F.array_join(F.slice("labels", F.greatest(F.lit(1), F.size("labels") - 1), F.lit(2)), ".")).drop("labels")
-    known = split(labelled)
-    domains = known.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    """(host, n, k, posterior_mean, lower_bound) of every host name, from labelled (host, n, k)."""
+    labelled = stored(with_levels(labelled), "host-outcomes")  # read for each level and its strength
+    both = lambda prefix: (F.sum("n").alias(f"{prefix}n"), F.sum("k").alias(f"{prefix}k"))
+    domains = stored(labelled.groupBy("domain", "suffix").agg(*both("")), "domain-outcomes")
+    suffixes = stored(domains.groupBy("suffix").agg(*both("")), "suffix-outcomes")
     whole = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("mean")).scalar()
-    shrunk = lambda mean, strength: (F.coalesce("k", F.lit(0)) + strength * mean) / (F.coalesce("n", F.lit(0)) + strength)
-    up_suffix = suffixes.select("suffix", shrunk(whole, _strength(suffixes)).alias("suffix_mean"))
-    up_domain = domains.join(up_suffix, "suffix").select("domain", shrunk(F.col("suffix_mean"), _strength(domains)).alias("domain_mean"))
-    strength = _strength(labelled)
-    rows = split(hosts).join(labelled, "host", "left").join(up_suffix, "suffix", "left").join(up_domain, "domain", "left")
-    prior = F.coalesce("domain_mean", "suffix_mean", whole)
-    n, k = F.coalesce("n", F.lit(0)), F.coalesce("k", F.lit(0))
-    rows = rows.select("host", n.alias("n"), k.alias("k"), prior.alias("prior"), strength.alias("strength"))
-    mean = (F.col("k") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength"))
-    rows = rows.withColumn("posterior_mean", mean)
-    sd = F.sqrt(F.col("posterior_mean") * (1 - F.col("posterior_mean")) / (F.col("n") + F.col("strength") + 1))
+    of = lambda df, key, prefix: df.select(key, F.col("n").alias(f"{prefix}n"), F.col("k").alias(f"{prefix}k"))
+    rows = with_levels(hosts).join(of(labelled, "host", ""), "host", "left").join(of(domains, "domain", "d"), "domain", "left").join(of(suffixes, "suffix", "s"), "suffix", "left")
+    rows = rows.fillna(0, ["n", "k", "dn", "dk", "sn", "sk"]).withColumns({"s0": _strength(suffixes), "s1": _strength(domains), "s2": _strength(labelled)})
+    rows = rows.withColumn("m0", (F.col("sk") - F.col("dk") + F.col("s0") * whole) / (F.col("sn") - F.col("dn") + F.col("s0")))
+    rows = rows.withColumn("m1", (F.col("dk") - F.col("k") + F.col("s1") * F.col("m0")) / (F.col("dn") - F.col("n") + F.col("s1")))
+    rows = rows.withColumn("posterior_mean", (F.col("k") + F.col("s2") * F.col("m1")) / (F.col("n") + F.col("s2")))
+    sd = F.sqrt(F.col("posterior_mean") * (1 - F.col("posterior_mean")) / (F.col("n") + F.col("s2") + 1))
     return rows.select("host", "n", "k", "posterior_mean", (F.col("posterior_mean") - z * sd).alias("lower_bound"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, least: float = 0.7, z: float = 1.645,
                 id_col: str = "page_id", url_col: str = "url", outcome_id: str = "page_id", outcome_col: str = "good") -> DataFrame:
     """(id, host, path, rule, verdict, labelled, good, posterior_mean, lower_bound) per page row."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("_url"))
-    host, path = host_and_path(F.col("_url"))
-    rows = rows.select("id", host.alias("host"), path.alias("path"))
+    host, path = host_and_path(F.col(url_col))
+    rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")).withColumn("name", name_of(F.col("host")))
     marked = outcomes.select(F.col(outcome_id).alias("id"), F.col(outcome_col).cast("long").alias("good")).where("id is not null and good in (0, 1)")
-    counted = rows.select("id", "host").join(marked, "id").groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("k"))
-    hosts = reputation(rows.select("host").distinct(), counted, z)
-    judged = rows.join(hosts, "host").withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
+    counted = rows.select("id", F.col("name").alias("host")).join(marked, "id").groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("k"))
+    hosts = reputation(rows.select(F.col("name").alias("host")).distinct(), counted, z)
+    judged = rows.join(hosts.withColumnRenamed("host", "name"), "name").withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce(F.col("fit.verdict"), F.when(F.col("lower_bound") >= least, "allow").otherwise("block"))
     return judged.select("id", "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"), F.col("n").alias("labelled"), F.col("k").alias("good"), "posterior_mean", "lower_bound")
