@@ -1,79 +1,82 @@
-"""License scans: TF-IDF cosine of licence lines to templates, then inheritance along directories.
+"""License scans: TF-IDF cosine of headers, licence files and notices to templates, then inheritance along directories.
 
-A candidate is a line of a file, anywhere in it, that holds an anchor word; its tokens are runs of letters, digits and
-dots inside, lower-cased.  Template tokens are weighted by ln(1 + N / (1 + df)) with N and df, the number of files
-that hold the token in a candidate line, counted over all files; other tokens count as df = 0.  A file's own licence is the template with
-the greatest cosine over its lines, if that is `least` or more; ties go to the template of least name.
+What is compared of a file: each line that holds an anchor; each block of two lines or more between empty lines
+that holds one, as headers are; and of licence files (base name LICENSE, LICENCE or COPYING, any extension) with an anchor
+the whole text.  Tokens are runs of letters, digits and dots inside, lower-cased, weighted by their number times
+ln(1 + N / (1 + df)), with N and df counted over all whole texts of all files.  Licences have several templates: whole
+texts, headers and one-line notices.  A file's own licence is the one of the template with the greatest cosine, if that is
+`least` or more; ties go to the licence of least name.
 
-A directory's licence is that of its licence file (base name LICENSE, LICENCE or COPYING, any extension; of several the greatest
-cosine, then the least path).  A file without a licence of its own takes that of the nearest directory above it, by
-equality joins of directories with their ancestors.
+A directory's licence is that of its licence file (of several the greatest cosine, then the least path).  A file without a
+licence of its own takes that of the nearest directory above it, by equality joins of directories with their ancestors.
 
-Null text: no lines.  Null path: as the root's file ''.  Repeated rows stay.  DataFrame expressions only.
+Rows are told apart by id, path and text, so a null or repeated id mixes nothing; rows alike in all three have one result,
+each its row.  Null text: nothing to compare.  Null path: as the root's file ''.  An empty table gives none.  DataFrame
+expressions only.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import drop_stored, stored
+from .licence_texts import TEMPLATES
 
-#: What the licences' notices say.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-}
-ANCHORS = ("licensed", "license", "licence", "copyright", "spdx", "mit", "gnu", "apache", "gpl", "cc")
+#: A line or block is compared if it holds one of these words; names that are words of some language only as written.
+ANCHORS = ("licensed", "license", "licence", "licenses", "copyright", "spdx", "gnu", "mozilla", "redistribution", "warranty", "warranties", "gpl", "lgpl", "agpl", "cc0", "public domain")
+NAMES = ("MIT", "BSD", "ISC", "CC", "MPL", "EPL")
+ANCHOR = "(?:^|[^\\p{L}\\p{N}])(?:(?i:" + "|".join(ANCHORS) + ")|" + "|".join(NAMES) + ")(?:$|[^\\p{L}\\p{N}])"
 TOKEN = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"
-#: Templates are carried in the plan, so their number has a bound.
-MOST_TEMPLATES = 2_000
+LICENCE_FILE = r"(?:^|/)(?i:licen[cs]e|copying)(?:\.[^./]*)?$"
+BLANK = r"\n[ \t]*\n"
 
 
-def template_counts(templates: dict[str, str]) -> dict[str, Counter]:
+def template_counts(templates: dict[str, tuple[str, ...]]) -> list[tuple[str, int, str, float]]:
+    """(licence, variant, token, number)."""
     import regex
 
-    return {name: Counter(regex.findall(TOKEN, text.lower())) for name, text in templates.items()}
+    return [(name, i, token, float(n)) for name, texts in templates.items() for i, text in enumerate(texts) for token, n in Counter(regex.findall(TOKEN, text.lower())).items()]
 
 
-def tokens(line: Column) -> Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(TOKEN), F.lit(0))
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def candidate_tokens(files: DataFrame, anchors: tuple[str, ...]) -> DataFrame:
-    """(file, line, token), line being a number, of the lines that hold an anchor word; dealt by file, once."""
-    spark = files.sparkSession
-    pattern = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, anchors)) + r")(?![\p{L}\p{N}])"
-    lines = files.where(F.col("text").rlike(pattern)).select("file", F.posexplode(F.split("text", "\n")).alias("line", "said")).where(F.col("said").rlike(pattern))
-    return lines.select("file", "line", F.explode(tokens(F.col("said"))).alias("token")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
+def units(files: DataFrame) -> DataFrame:
+    """(file, unit, said): what is compared of files (file, path, text)."""
+    rows = files.where(F.col("text").rlike(ANCHOR))
+    pieces = lambda kind, parts: F.transform(parts, lambda said, i: F.struct(F.concat(F.lit(kind), i).alias("unit"), said.alias("said")))
+    lines = pieces("l", F.split("text", "\n"))
+    blocks = F.filter(pieces("b", F.split("text", BLANK)), lambda u: F.contains(u["said"], F.lit("\n")))
+    whole = F.when(F.col("path").rlike(LICENCE_FILE), F.array(F.struct(F.lit("w").alias("unit"), F.col("text").alias("said")))).otherwise(F.array().cast("array<struct<unit:string,said:string>>"))
+    found = F.filter(F.concat(lines, blocks, whole), lambda u: u["said"].rlike(ANCHOR))
+    return rows.select("file", F.inline(found))
 
 
-def own_licences(files: DataFrame, templates: dict[str, str], anchors: tuple[str, ...], least: float) -> DataFrame:
+def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]], least: float) -> DataFrame:
     """(file, licence, cosine) of the files that have one; files: (file, path, text)."""
-    if len(templates) > MOST_TEMPLATES:
-        raise ValueError(f"{len(templates)} templates; at most {MOST_TEMPLATES}")
     spark = files.sparkSession
-    counts = template_counts(templates)
-    rows = spark.createDataFrame([(name, token, float(n)) for name, c in counts.items() for token, n in c.items()], "template string, token string, tf double")
-    per_line = stored(candidate_tokens(files, anchors).groupBy("file", "line", "token").agg(F.count("*").cast("double").alias("tf")), "licence-tokens")
-    dealt = per_line.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
+    rows = spark.createDataFrame(template_counts(templates), "licence string, variant int, token string, tf double")
+    said = units(files).distinct()  # rows alike in id, path and text are compared once
+    counted = stored(said.select("file", "unit", F.explode(tokens(F.col("said"))).alias("token")).groupBy("file", "unit", "token").agg(F.count("*").cast("double").alias("tf")), "licence-tokens")
     total = files.agg(F.count("*")).scalar()
-    vocabulary = rows.select("token").distinct()
-    seen = per_line.join(F.broadcast(vocabulary), "token", "left_semi").select("file", "token").distinct().groupBy("token").agg(F.count("*").alias("df"))
-    idf = vocabulary.join(seen, "token", "left").select("token", F.log(1 + total / (1 + F.coalesce("df", F.lit(0)))).alias("idf"))
-    vectors = rows.join(idf, "token").select("template", "token", (F.col("tf") * F.col("idf")).alias("tw"))
-    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("norm"))
-    weighted = dealt.join(F.broadcast(idf), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(1 + total / F.lit(1))))
-    line_norms = weighted.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("line_norm"))
-    products = weighted.join(F.broadcast(vectors), "token").groupBy("file", "line", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = products.join(line_norms.hint("shuffle_hash"), ["file", "line"]).join(F.broadcast(norms), "template").withColumn("cosine", F.col("dot") / (F.col("line_norm") * F.col("norm")))
-    best = scored.groupBy("file").agg(F.min(F.struct((-F.round("cosine", 9)).alias("minus"), F.col("template"))).alias("best"))
-    return best.select("file", F.col("best.template").alias("licence"), (-F.col("best.minus")).alias("cosine")).where(F.col("cosine") >= least)
+    df = stored(files.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("token")).groupBy("token").agg(F.count("*").alias("df")), "token-files")
+    idf = F.log(1 + total / (1 + F.coalesce("df", F.lit(0))))
+    vectors = stored(rows.join(df, "token", "left").select("licence", "variant", "token", (F.col("tf") * idf).alias("tw")), "licence-vectors")  # as many rows as the templates have tokens
+    norms = vectors.groupBy("licence", "variant").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("norm"))
+    weighted = stored(counted.join(df, "token").select("file", "unit", "token", (F.col("tf") * idf).alias("w")), "licence-weights")
+    dealt = weighted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "unit")
+    unit_norms = dealt.groupBy("file", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
+    products = dealt.join(F.broadcast(vectors), "token").groupBy("file", "unit", "licence", "variant").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = products.join(unit_norms, ["file", "unit"]).join(F.broadcast(norms), ["licence", "variant"]).withColumn("cosine", F.round(F.col("dot") / (F.col("unit_norm") * F.col("norm")), 9))
+    best = scored.where(F.col("cosine") >= least).groupBy("file").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("licence"))).alias("best"))
+    out = stored(best.select("file", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("cosine")), "licences")
+    for table in (counted, df, weighted, vectors):
+        drop_stored(table)
+    return out
 
 
 def directory(path: Column) -> Column:
@@ -81,18 +84,18 @@ def directory(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, anchors: tuple[str, ...] = ANCHORS, least: float = 0.6, id_col: str = "file_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
+def scan(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, least: float = 0.6, id_col: str = "file_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(id, path, licence, basis, cosine, licence_dir): basis is own, inherited or none."""
-    rows = files.select(F.col(id_col).alias("file"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.col(text_col).alias("text"))
-    own = stored(own_licences(rows, templates, anchors, least), "licences")
-    thin = rows.select("file", "path", directory(F.col("path")).alias("dir"))
-    named = thin.where(F.regexp_extract("path", r"([^/]*)$", 1).rlike(r"^(?i:licen[cs]e|copying)(?:\.[^.]*)?$")).join(own, "file")
+    id_, path, text = F.col(id_col), F.coalesce(F.col(path_col), F.lit("")), F.col(text_col)
+    mark = F.md5(F.concat_ws("\n", F.coalesce(id_.cast("string"), F.lit("?")), F.concat(F.length(path).cast("string"), path), F.coalesce(F.md5(text.cast("binary")), F.lit("?"))))
+    rows = files.select(mark.alias("file"), id_.alias("id"), path.alias("path"), text.alias("text"))
+    own = own_licences(rows, templates, least)
+    thin = rows.select("file", "id", "path", directory(F.col("path")).alias("dir"))
+    named = thin.where(F.col("path").rlike(LICENCE_FILE)).join(own, "file")
     of_dir = named.groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("path"), F.col("licence"))).alias("best")).select(F.col("dir").alias("licence_dir"), F.col("best.licence").alias("licence"))
     parts = F.split("dir", "/")
     above = F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))))
     nearest = thin.select("dir").distinct().select("dir", F.explode(F.array_distinct(above)).alias("licence_dir")).join(of_dir, "licence_dir").groupBy("dir").agg(F.max(F.struct(F.length("licence_dir").alias("depth"), F.col("licence_dir"), F.col("licence"))).alias("near")).select("dir", F.col("near.licence").alias("inherited"), F.col("near.licence_dir").alias("licence_dir"))
-    out = thin.join(own.dropDuplicates(["file"]), "file", "left").join(nearest, "dir", "left")
+    out = thin.join(own, "file", "left").join(nearest, "dir", "left")
     basis = F.when(F.col("licence").isNotNull(), "own").when(F.col("inherited").isNotNull(), "inherited").otherwise("none")
-    return out.select(F.col("file").alias("id"), "path", F.coalesce("licence", "inherited").alias("licence"), basis.alias("basis"), "cosine", F.when(basis == "inherited", F.col("licence_dir")).alias("licence_dir"))
-
-
+    return out.select("id", "path", F.coalesce("licence", "inherited").alias("licence"), basis.alias("basis"), "cosine", F.when(basis == "inherited", F.col("licence_dir")).alias("licence_dir"))
