@@ -1,12 +1,16 @@
 """Mixing sources to target weights by iterative proportional fitting, and sampling by the calibrated probabilities.
 
 Token weights are summed into the cells of source x language x topic.  Raking multiplies the cells by factors until
-the marginal shares of each dimension meet their targets; cells that hold no tokens stay empty.  Values that a
-dimension's targets don't name, the missing value '?' among them, keep their own share of tokens, and the named targets
-are rescaled to what remains and to the values that occur.  A document's probability is min(1, scale x its cell's factor), where scale is the
-greatest at which expected tokens are at most `budget` times the corpus; it is sampled by a hash of its id, so that a sample repeats and a greater
-budget contains it.  Each kept document carries `mix_weight`, target over expected share of its cell (1 where the
-probability did not reach 1).
+the marginal shares of each dimension meet their targets; cells that hold no tokens stay empty.  A dimension's targets
+are shares by value, or a power: shares in proportion to the values' own shares to that power, which lifts small
+values.  Values that the targets don't name, the missing value '?' among them, keep their own share of tokens, and the named
+targets are rescaled to what remains and to the values that occur.  Targets that no weights of the cells can meet
+together leave the last dimension's met; `margin_miss`, in every row, is by how much the worst marginal share misses.
+
+A document's probability is min(1, scale x its cell's factor), where scale is the greatest at which expected tokens
+are at most `budget` times the corpus; it is sampled by a hash of its id, so that a sample repeats and a greater budget
+contains it.  Each kept document carries `mix_weight`, target over expected share of its cell (1 where the probability
+did not reach 1).
 
 The cells are a table of at most `most_cells` rows, checked before it comes to the driver; documents are joined to
 it by a broadcast of that size.  Null dimension values are the value '?'.  Null and wordless texts weigh 0 tokens but are sampled like
@@ -65,8 +69,8 @@ def scale_for(tokens_: np.ndarray, factor: np.ndarray, budget: float) -> float:
     return float("inf")
 
 
-def calibrate(rows: DataFrame, targets: dict[str, dict[str, float]], budget: float, most_cells: int = 100_000) -> list[tuple]:
-    """[(value per dimension, tokens, target share, probability, mix_weight)] of the cells of rows (DIMENSIONS, n_tokens)."""
+def calibrate(rows: DataFrame, targets: dict[str, dict[str, float] | float], budget: float, most_cells: int = 100_000) -> list[tuple]:
+    """[(value per dimension, tokens, target share, probability, mix_weight, margin_miss)] of the cells of rows (DIMENSIONS, n_tokens)."""
     cells = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").cast("double").alias("tokens")).limit(most_cells + 1).collect()
     if len(cells) > most_cells:
         raise ValueError(f"over {most_cells} cells")
@@ -75,7 +79,7 @@ def calibrate(rows: DataFrame, targets: dict[str, dict[str, float]], budget: flo
         return []
     count = np.array([r["tokens"] for r in cells])
     if not count.sum():
-        return [(*tuple(r)[:3], 0.0, 0.0, 1.0, 1.0) for r in cells]
+        return [(*tuple(r)[:3], 0.0, 0.0, 1.0, 1.0, 0.0) for r in cells]
     places, wanted = [], []
     for d in DIMENSIONS:
         values = sorted({r[d] for r in cells})
@@ -83,6 +87,8 @@ def calibrate(rows: DataFrame, targets: dict[str, dict[str, float]], budget: flo
         has = np.bincount(place, weights=count, minlength=len(values)) > 0
         goal = targets.get(d) or {}
         own = np.bincount(place, weights=count, minlength=len(values)) / count.sum()
+        if not isinstance(goal, dict):
+            goal = {v: x**goal if x else 0.0 for v, x in zip(values, own.tolist(), strict=True)}
         named = np.array([v in goal for v in values], bool)
         target = np.array([goal.get(v, 0.0) for v in values]) * has
         left = 1.0 - own[~named].sum()  # values without a target keep their own share
@@ -90,22 +96,23 @@ def calibrate(rows: DataFrame, targets: dict[str, dict[str, float]], budget: flo
         places.append(place)
         wanted.append(target / target.sum() if target.sum() else has / has.sum())
     share = rake(count, places, wanted)
+    miss = max(float(np.abs(np.bincount(place, weights=share, minlength=len(target)) - target).max()) for place, target in zip(places, wanted, strict=True))
     factor = np.divide(share, count / count.sum(), out=np.zeros(len(count)), where=count > 0)
     scale = scale_for(count, factor, budget * count.sum())
     chance = np.where(count > 0, np.minimum(1.0, np.where(factor > 0, scale * factor if np.isfinite(scale) else 1.0, 0.0)), 1.0)
     got = count * chance
     got = got / got.sum() if got.sum() else got
     raw = np.divide(share, got, out=np.ones(len(count)), where=got > 0)
-    return [(*tuple(r)[:3], *map(float, x)) for r, *x in zip(cells, count, share, chance, raw, strict=True)]
+    return [(*tuple(r)[:3], *map(float, x), miss) for r, *x in zip(cells, count, share, chance, raw, strict=True)]
 
 
-def mix(docs: DataFrame, topic: Column, targets: dict[str, dict[str, float]], budget: float = 0.5, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+def mix(docs: DataFrame, topic: Column, targets: dict[str, dict[str, float] | float], budget: float = 0.5, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """(row, n_tokens, topic, source, lang, chance, mix_weight, ...) of the sampled documents; `row` holds all their columns."""
     spark = docs.sparkSession
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
     full = docs.select(F.struct("*").alias("row"), tokens(F.col(text_col)).alias("n_tokens"), F.coalesce(topic, F.lit(MISSING)).alias("topic"), name(source_col).alias("source"), name(lang_col).alias("lang"), uniform(F.col(id_col), seed).alias("u"))
     cells = calibrate(full.select(*DIMENSIONS, "n_tokens"), targets, budget)
-    table = spark.createDataFrame(cells, "source string, lang string, topic string, cell_tokens double, share double, chance double, mix_weight double")
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, cell_tokens double, share double, chance double, mix_weight double, margin_miss double")
     return full.join(F.broadcast(table), list(DIMENSIONS)).where("u < chance")
 
 
