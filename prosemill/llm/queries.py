@@ -14,7 +14,8 @@ from .common import crc_mod, table
 
 #: Where the public tokenizer files are installed.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-TARGETS = {"lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, "topic": {"short": 1.0, "medium": 4.0, "long": 4.0, "licence": 0.5, "contact": 0.5, "table": 0.2}}
+#: Sources by the root of their own shares, which halves the lead of a hot one; languages and topics by shares.
+TARGETS = {"source": 0.5, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, "topic": {"short": 1.0, "medium": 4.0, "long": 4.0, "licence": 0.5, "contact": 0.5, "table": 0.2}}
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.topic_of(F.col("text")), TARGETS)
-    return mixed.select(F.col("row.doc_id").alias("doc_id"), "source", "lang", "topic", "n_tokens", F.round("chance", 9).alias("chance"), F.round("mix_weight", 9).alias("mix_weight"))
+    return mixed.select(F.col("row.doc_id").alias("doc_id"), "source", "lang", "topic", "n_tokens", F.round("chance", 9).alias("chance"), F.round("mix_weight", 9).alias("mix_weight"), F.round("margin_miss", 9).alias("margin_miss"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +88,15 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merkle.with_next(table(spark, sf_dir, "documents"))
     rows = rows.select("id", "text", "next_text", merkle.edited(F.col("text"), F.col("next_text")).alias("edited"))
-    parts = {f"{part}_{name}": f(F.col(name)) for name in ("text", "edited", "next_text") for part, f in (("root", merkle.root), ("groups", merkle.groups))}
-    rows = rows.select("id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), *(c.alias(name) for name, c in parts.items()))
-    like = lambda other: merkle.likeness(F.col("root_text"), F.col("groups_text"), F.col(f"root_{other}"), F.col(f"groups_{other}"))
-    return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.col("root_text").alias("fingerprint"), F.col("root_edited").alias("edited_fingerprint"), like("edited").alias("near_edited"), like("next_text").alias("near_next"))
+    names = ("text", "edited", "next_text")
+    trees = rows.select("id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), *(merkle.tree(F.col(n)).alias(n) for n in names))
+    parts = {f"{part}_{n}": f(F.col(n)) for n in names for part, f in (("root", merkle.root), ("leaves", merkle.leaves))}
+    places = merkle.differing(F.col("text"), F.col("edited"))
+    rows = trees.select("id", "n_chars", "edited_sha256", places.alias("places"), *(c.alias(name) for name, c in parts.items()))
+    like = lambda other: merkle.likeness(F.col("root_text"), F.col("leaves_text"), F.col(f"root_{other}"), F.col(f"leaves_{other}"))
+    first = F.array_min(F.col("places"))
+    return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.col("root_text").alias("fingerprint"), F.col("root_edited").alias("edited_fingerprint"), like("edited").alias("near_edited"), like("next_text").alias("near_next"),
+                       F.size("places").cast("long").alias("n_places"), first["section"].cast("long").alias("first_section"), first["paragraph"].cast("long").alias("first_paragraph"))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,36 +128,41 @@ _VERDICTS = "CASE rule " + " ".join(f"WHEN '{host}{path}' THEN '{verdict}'" for
 
 OP1 = f"""WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
  page AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), '{UPPER}', '{LOWER_CASE}') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
- hosts AS (SELECT DISTINCT host, split_part(host, '.', -1) AS suffix, array_to_string(list_slice(string_split(host, '.'), greatest(1, len(string_split(host, '.')) - 1), len(string_split(host, '.'))), '.') AS domain FROM page),
- labelled AS (SELECT host, count(*)::DOUBLE AS n, sum(quality)::DOUBLE AS k FROM page JOIN labels ON doc_id = page_id WHERE quality IN (0, 1) GROUP BY host),
- domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM labelled JOIN hosts USING (host) GROUP BY ALL),
+ named AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\\.$', '') AS name FROM page),
+ split AS (SELECT name, string_split(name, '.') AS l, regexp_matches(name, '^[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}$') OR starts_with(name, '[') AS numeric FROM (SELECT DISTINCT name FROM named)),
+ level AS (SELECT *, array_to_string(l[greatest(1, len(l) - 1):], '.') AS two, array_to_string(l[greatest(1, len(l) - 2):], '.') AS three FROM split),
+ hosts AS (SELECT name, CASE WHEN numeric THEN name WHEN two IN {url_filter.SUFFIXES} THEN three ELSE two END AS domain, CASE WHEN numeric THEN name WHEN two IN {url_filter.SUFFIXES} THEN two ELSE l[-1] END AS suffix FROM level),
+ labelled AS (SELECT name, count(*)::DOUBLE AS n, sum(quality)::DOUBLE AS k FROM named JOIN labels ON doc_id = page_id WHERE quality IN (0, 1) GROUP BY name),
+ domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM labelled JOIN hosts USING (name) GROUP BY ALL),
  suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
  whole AS (SELECT (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM suffixes),
- up_suffix AS (SELECT suffix, (k + {_level('suffixes')} * (SELECT mean FROM whole)) / (n + {_level('suffixes')}) AS m FROM suffixes),
- up_domain AS (SELECT domain, (k + {_level('domains')} * m) / (n + {_level('domains')}) AS m FROM domains JOIN up_suffix USING (suffix)),
- prior AS (SELECT h.host, coalesce(l.n, 0) AS n, coalesce(l.k, 0) AS k, coalesce(d.m, s.m, (SELECT mean FROM whole)) AS prior, {_level('labelled')} AS strength FROM hosts h LEFT JOIN labelled l USING (host) LEFT JOIN up_suffix s USING (suffix) LEFT JOIN up_domain d USING (domain)),
- post AS (SELECT *, (k + strength * prior) / (n + strength) AS posterior_mean FROM prior),
- bound AS (SELECT *, posterior_mean - 1.645 * sqrt(posterior_mean * (1 - posterior_mean) / (n + strength + 1)) AS lower_bound FROM post),
- ruled AS (SELECT *, {_RULES} AS rule FROM page JOIN bound USING (host))
+ count AS (SELECT h.name, coalesce(l.n, 0) AS n, coalesce(l.k, 0) AS k, coalesce(d.n, 0) AS dn, coalesce(d.k, 0) AS dk, coalesce(s.n, 0) AS sn, coalesce(s.k, 0) AS sk, {_level('suffixes')} AS s0, {_level('domains')} AS s1, {_level('labelled')} AS s2
+   FROM hosts h LEFT JOIN labelled l USING (name) LEFT JOIN domains d USING (domain) LEFT JOIN suffixes s ON h.suffix = s.suffix),
+ up AS (SELECT *, (dk - k + s1 * ((sk - dk + s0 * (SELECT mean FROM whole)) / (sn - dn + s0))) / (dn - n + s1) AS prior FROM count),
+ post AS (SELECT *, (k + s2 * prior) / (n + s2) AS posterior_mean FROM up),
+ bound AS (SELECT *, posterior_mean - 1.645 * sqrt(posterior_mean * (1 - posterior_mean) / (n + s2 + 1)) AS lower_bound FROM post),
+ ruled AS (SELECT *, {_RULES} AS rule FROM named JOIN bound USING (name))
  SELECT page_id, host, path, rule, {_VERDICTS} AS verdict, n::BIGINT AS labelled, round(posterior_mean, 6) AS posterior_mean, round(lower_bound, 6) AS lower_bound FROM ruled"""
 
-_TOKEN = "[\\p{L}\\p{N}]+(?:\\.[\\p{L}\\p{N}]+)*"
-_ANCHOR = "(?i)(^|[^\\p{L}\\p{N}])(" + "|".join(license_scan.ANCHORS) + ")($|[^\\p{L}\\p{N}])"
-_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES.items())
+_TOKEN, _ANCHOR, _LICENCE_FILE = license_scan.TOKEN, license_scan.ANCHOR, license_scan.LICENCE_FILE
+_TEMPLATES = ", ".join("('{}', {}, '{}')".format(name, i, text.replace("'", "''")) for name, texts in license_scan.TEMPLATES.items() for i, text in enumerate(texts))
 OP2 = f"""WITH file AS (SELECT doc_id, text, base || CASE WHEN doc_id % 64 = 0 THEN '/LICENSE' WHEN doc_id % 16 = 0 THEN '/d' || (doc_id % 64 // 16) || '/LICENSE.txt' ELSE '/d' || (doc_id % 64 // 16) || '/f' || doc_id || '.txt' END AS path
    FROM (SELECT *, coalesce(source, 'none') || '/p' || (doc_id // 64) AS base FROM documents)),
- template AS (SELECT name, token, count(*)::DOUBLE AS tf FROM (SELECT name, unnest(regexp_extract_all(lower(said), '{_TOKEN}')) AS token FROM (VALUES {_TEMPLATES}) t(name, said)) GROUP BY ALL),
- line AS (SELECT doc_id, n, said FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS said, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents) WHERE regexp_matches(said, '{_ANCHOR}')),
- token AS (SELECT doc_id, n, token, count(*)::DOUBLE AS tf FROM (SELECT doc_id, n, unnest(regexp_extract_all(lower(said), '{_TOKEN}')) AS token FROM line) GROUP BY ALL),
- idf AS (SELECT token, ln(1 + (SELECT count(*) FROM documents) / (1 + coalesce(df, 0))) AS idf FROM (SELECT DISTINCT token FROM template) LEFT JOIN (SELECT token, count(DISTINCT doc_id) AS df FROM token GROUP BY token) USING (token)),
- vector AS (SELECT name, token, tf * idf AS tw FROM template JOIN idf USING (token)), norm AS (SELECT name, sqrt(sum(tw * tw)) AS norm FROM vector GROUP BY name),
- weight AS (SELECT doc_id, n, token, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM documents)::DOUBLE)) AS w FROM token LEFT JOIN idf USING (token)),
- length AS (SELECT doc_id, n, sqrt(sum(w * w)) AS line_norm FROM weight GROUP BY ALL),
- score AS (SELECT doc_id, name, round(sum(w * tw) / any_value(line_norm * norm), 9) AS cosine FROM weight JOIN vector USING (token) JOIN length USING (doc_id, n) JOIN norm USING (name) GROUP BY doc_id, n, name),
- own AS (SELECT doc_id, name AS licence, cosine FROM score QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, name) = 1),
- kept AS (SELECT * FROM own WHERE cosine >= 0.6),
+ template AS (SELECT name, variant, token, count(*)::DOUBLE AS tf FROM (SELECT name, variant, unnest(regexp_extract_all(lower(said), '{_TOKEN}')) AS token FROM (VALUES {_TEMPLATES}) t(name, variant, said)) GROUP BY ALL),
+ part AS (SELECT doc_id, 'l' || generate_subscripts(string_split(text, chr(10)), 1) AS unit, unnest(string_split(text, chr(10))) AS said FROM file UNION ALL
+   SELECT * FROM (SELECT doc_id, 'b' || generate_subscripts(regexp_split_to_array(text, '\n[ \t]*\n'), 1) AS unit, unnest(regexp_split_to_array(text, '\n[ \t]*\n')) AS said FROM file) WHERE contains(said, chr(10)) UNION ALL
+   SELECT doc_id, 'w', text FROM file WHERE regexp_matches(path, '{_LICENCE_FILE}')),
+ unit AS (SELECT * FROM part WHERE regexp_matches(said, '{_ANCHOR}')),
+ token AS (SELECT doc_id, unit, token, count(*)::DOUBLE AS tf FROM (SELECT doc_id, unit, unnest(regexp_extract_all(lower(said), '{_TOKEN}')) AS token FROM unit) GROUP BY ALL),
+ df AS (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{_TOKEN}'))) AS token FROM documents) GROUP BY token),
+ vector AS (SELECT name, variant, token, tf * ln(1 + (SELECT count(*) FROM documents) / (1 + coalesce(df, 0))) AS tw FROM template LEFT JOIN df USING (token)),
+ norm AS (SELECT name, variant, sqrt(sum(tw * tw)) AS norm FROM vector GROUP BY ALL),
+ weight AS (SELECT doc_id, unit, token, tf * ln(1 + (SELECT count(*) FROM documents) / (1 + df)) AS w FROM token JOIN df USING (token)),
+ length AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS unit_norm FROM weight GROUP BY ALL),
+ score AS (SELECT doc_id, name, round(sum(w * tw) / any_value(unit_norm * norm), 9) AS cosine FROM weight JOIN vector USING (token) JOIN length USING (doc_id, unit) JOIN norm USING (name, variant) GROUP BY doc_id, unit, name, variant),
+ kept AS (SELECT doc_id, name AS licence, cosine FROM score WHERE cosine >= 0.6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, name) = 1),
  placed AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM file),
- of_dir AS (SELECT dir AS licence_dir, licence FROM placed JOIN kept USING (doc_id) WHERE regexp_matches(path, '/LICENSE') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, path) = 1),
+ of_dir AS (SELECT dir AS licence_dir, licence FROM placed JOIN kept USING (doc_id) WHERE regexp_matches(path, '{_LICENCE_FILE}') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, path) = 1),
  near AS (SELECT dir, licence AS inherited, licence_dir FROM (SELECT DISTINCT dir FROM placed) p JOIN of_dir o ON p.dir = o.licence_dir OR starts_with(p.dir, o.licence_dir || '/') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(licence_dir) DESC) = 1)
  SELECT doc_id, path, coalesce(licence, inherited) AS licence, CASE WHEN licence IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis, round(cosine, 6) AS cosine, CASE WHEN licence IS NULL AND inherited IS NOT NULL THEN licence_dir END AS licence_dir
  FROM placed LEFT JOIN kept USING (doc_id) LEFT JOIN near USING (dir)"""
@@ -167,19 +178,36 @@ OP4 = f"""WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text
  SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(x, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
-def _root(text: str) -> str:
-    section = "sha256(array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256(p)), ','))"
-    return f"sha256(array_to_string(list_transform(string_split({text}, chr(10) || chr(10)), lambda s: {section}), ','))"
+_LEAF = merkle.LEAF.replace("*+", "*")
 
 
-def _like(a: str, b: str) -> str:
-    groups = lambda t: f"list_distinct(regexp_extract_all({t}, '[^ \\n]+(?: +[^ \\n]+){{0,3}}'))"
-    return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN len({groups(a)}) + len({groups(b)}) = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({groups(a)}, {groups(b)})) / (len({groups(a)}) + len({groups(b)})) END"
+def _tree(text: str) -> str:
+    """SQL: list of sections, each a list of paragraphs {h, l}: node and leaf nodes."""
+    node = f"lambda p: {{'h': sha256(array_to_string(list_transform(regexp_extract_all(p, '{_LEAF}'), lambda x: md5(x)), ',')), 'l': list_transform(regexp_extract_all(p, '{_LEAF}'), lambda x: md5(x))}}"
+    return f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), {node}))"
 
 
+def _root(tree: str) -> str:
+    return f"sha256(array_to_string(list_transform({tree}, lambda s: sha256(array_to_string(list_transform(s, lambda p: p.h), ','))), ','))"
+
+
+def _leaves(tree: str) -> str:
+    return f"list_distinct(flatten(list_transform(flatten({tree}), lambda p: p.l)))"
+
+
+def _like(other: str) -> str:
+    return f"CASE WHEN r_text = r_{other} THEN 1.0::DOUBLE WHEN len(l_text) + len(l_{other}) = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(l_text, l_{other})) / (len(l_text) + len(l_{other})) END"
+
+
+_PLACE = "SELECT doc_id, i, unnest(t[i]) AS p, generate_subscripts(t[i], 1) - 1 AS j FROM (SELECT doc_id, t_{0} AS t, unnest(range(1, len(t_{0}) + 1)) AS i FROM t)"
 OP8 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
  n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM d),
- e AS (SELECT *, substr(text, 1, length(text) - length(text) // 2) || substr(next, 1, length(text) // 2) AS edited FROM n)
- SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, {_root('text')} AS fingerprint, {_root('edited')} AS edited_fingerprint, {_like('text', 'edited')} AS near_edited, {_like('text', 'next')} AS near_next FROM e"""
+ e AS (SELECT *, substr(text, 1, length(text) - length(text) // 2) || substr(next, 1, length(text) // 2) AS edited FROM n),
+ t AS (SELECT *, {_tree('text')} AS t_text, {_tree('edited')} AS t_edited, {_tree('next')} AS t_next FROM e),
+ r AS (SELECT *, {', '.join(f'{_root(f"t_{x}")} AS r_{x}, {_leaves(f"t_{x}")} AS l_{x}' for x in ('text', 'edited', 'next'))} FROM t),
+ place AS (SELECT doc_id, i - 1 AS section, j AS paragraph FROM ({_PLACE.format('text')}) a FULL JOIN ({_PLACE.format('edited')}) b USING (doc_id, i, j) WHERE a.p.h IS DISTINCT FROM b.p.h),
+ placed AS (SELECT doc_id, count(*) AS n_places, min({{'s': section, 'p': paragraph}}) AS f FROM place GROUP BY doc_id)
+ SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, r_text AS fingerprint, r_edited AS edited_fingerprint, {_like('edited')} AS near_edited, {_like('next')} AS near_next,
+   coalesce(n_places, 0) AS n_places, f.s::BIGINT AS first_section, f.p::BIGINT AS first_paragraph FROM r LEFT JOIN placed USING (doc_id)"""
 
 SQL: dict[str, str] = {"op1_url_filters": OP1, "op2_license_scans": OP2, "op4_benchmark_decontamination": OP4, "op8_document_fingerprints": OP8}
