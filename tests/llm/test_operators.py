@@ -55,13 +55,91 @@ def test_url_reputation(spark):
     assert longest == 0
 
 
+@pytest.mark.parametrize(
+    ("host", "name", "domain", "suffix"),
+    [("a.b.co.uk", "a.b.co.uk", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk", "co.uk"), ("u:p@x.example.com:8080", "x.example.com", "example.com", "com"), ("x.example.com.", "x.example.com", "example.com", "com"), ("10.0.0.1:80", "10.0.0.1", "10.0.0.1", "10.0.0.1"), ("[::1]:80", "[::1]", "[::1]", "[::1]"), ("localhost", "localhost", "localhost", "localhost"), ("", "", "", "")],
+)
+def test_host_levels(spark, host, name, domain, suffix):
+    rows = spark.createDataFrame([(host,)], "h string").select(url_filter.name_of(F.col("h")).alias("host"))
+    assert tuple(url_filter.with_levels(rows).first()) == (name, domain, suffix)
+
+
+def test_reputation_without_own_outcomes(spark):
+    """Posterior means of hosts, recomputed level by level with the host's and the domain's own outcomes taken out."""
+    hosts = {"a.x.com": (10, 9), "b.x.com": (4, 0), "c.y.com": (6, 6), "d.z.org": (20, 3), "e.z.org": (1, 1), "f.shop.co.uk": (8, 2), "new.x.com": (0, 0), "new.q.net": (0, 0)}
+    level = lambda h, n: ".".join(h.split(".")[-n:])
+    suffix = {h: level(h, 2) if h.endswith("co.uk") else level(h, 1) for h in hosts}
+    domain = {h: level(h, 3) if h.endswith("co.uk") else level(h, 2) for h in hosts}
+    total = lambda of, key: tuple(sum(hosts[h][i] for h in hosts if of[h] == key) for i in (0, 1))
+
+    def strength(groups):
+        groups = [g for g in groups if g[0]]
+        n, k, m = sum(g[0] for g in groups), sum(g[1] for g in groups), len(groups)
+        p = (k + 1) / (n + 2)
+        below = p * (1 - p) * (n - sum(g[0] ** 2 for g in groups) / n - (m - 1))
+        rho = (sum(g[0] * (g[1] / g[0] - p) ** 2 for g in groups) - p * (1 - p) * (m - 1)) / below if below > 0 else 0.1
+        return 1 / max(0.001, min(0.9, rho)) - 1
+
+    s0, s1, s2 = strength([total(suffix, x) for x in set(suffix.values())]), strength([total(domain, x) for x in set(domain.values())]), strength(list(hosts.values()))
+    n, k = (sum(v[i] for v in hosts.values()) for i in (0, 1))
+    want = {}
+    for h, (hn, hk) in hosts.items():
+        (dn, dk), (sn, sk) = total(domain, domain[h]), total(suffix, suffix[h])
+        up = (sk - dk + s0 * (k + 1) / (n + 2)) / (sn - dn + s0)
+        up = (dk - hk + s1 * up) / (dn - hn + s1)
+        want[h] = (hk + s2 * up) / (hn + s2)
+    names = spark.createDataFrame([(h,) for h in hosts], "host string")
+    labelled = spark.createDataFrame([(h, *v) for h, v in hosts.items() if v[0]], "host string, n bigint, k bigint")
+    got = {r["host"]: r["posterior_mean"] for r in url_filter.reputation(names, labelled, 1.645).collect()}
+    assert got == pytest.approx(want)
+
+
 # 2: licence scans
 
 
+HEADER = """/*
+ * Copyright 2020 Someone
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+
+int main(void) { return 0; }
+"""
+
+
+def wrapped(name, i, head):
+    """A template as a licence file has it: a heading, a copyright line, paragraphs of short lines."""
+    words = license_scan.TEMPLATES[name][i].split()
+    return f"{head}\n\nCopyright (c) 2021 Some Body\n\n" + "\n".join(" ".join(words[k : k + 11]) for k in range(0, len(words), 11))
+
+
 def test_licences(spark):
-    files = [(1, "a/LICENSE", "x\nReleased under the MIT License."), (2, "a/b/c.txt", "nothing"), (3, "a/b/d.txt", "Licensed under CC BY-NC 4.0."), (4, "z/e.txt", None), (5, "a/b/COPYING", "Licensed under the Apache License, Version 2.0."), (6, "a/b/q/r.txt", ""), (7, "ab/x.txt", "license plate of my car and so on"), (8, None, "MIT")]
-    got = {r["id"]: (r["licence"], r["basis"]) for r in license_scan.scan(spark.createDataFrame(files, "file_id bigint, path string, text string")).collect()}
-    assert got == {1: ("MIT", "own"), 2: ("Apache-2.0", "inherited"), 3: ("CC-BY-NC-4.0", "own"), 4: (None, "none"), 5: ("Apache-2.0", "own"), 6: ("Apache-2.0", "inherited"), 7: (None, "none"), 8: got[8]}
+    prose = [(100 + i, f"t/f{i}.txt", f"of the in and to is software copy any use this file may not be {i} " * 3) for i in range(40)]
+    files = [(1, "a/LICENSE", wrapped("MIT", 5, "")), (2, "a/b/c.txt", "nothing"), (3, "a/b/d.txt", "x\nLicensed under CC BY-NC 4.0.\ny"), (4, "z/e.txt", None), (5, "a/b/COPYING", wrapped("BSD-3-Clause", 1, "BSD 3-Clause License")), (6, "a/b/q/r.txt", ""), (7, "ab/x.txt", "license plate of my car and so on"),
+             (8, None, "MIT"), (9, "s/m.c", HEADER), (10, "s/n.py", "# SPDX-License-Identifier: GPL-3.0-or-later\nimport os"), (11, "s/u.txt", "ich gehe mit dem Hund"), (12, "s/LICENSE.md", wrapped("ISC", 1, "ISC License"))]
+    got = {r["id"]: (r["licence"], r["basis"]) for r in license_scan.scan(spark.createDataFrame(files + prose, "file_id bigint, path string, text string")).collect()}
+    own, inherited, none = (lambda x: (x, "own")), (lambda x: (x, "inherited")), (None, "none")
+    assert {i: got[i] for i in range(1, 13)} == {1: own("MIT"), 2: inherited("BSD-3-Clause"), 3: own("CC-BY-NC-4.0"), 4: none, 5: own("BSD-3-Clause"), 6: inherited("BSD-3-Clause"), 7: none, 8: own("MIT"), 9: own("Apache-2.0"), 10: own("GPL-3.0"), 11: inherited("ISC"), 12: own("ISC")}
+    assert got[100] == none
+
+
+def test_licences_of_null_and_repeated_ids(spark):
+    line = "Released under the MIT License."
+    rows = [(None, "a/x", line), (None, "a/y", "nichts"), (7, "b/x", "eins\n" + line), (7, "b/y", "zwei\nLicensed under CC BY-NC 4.0."), (7, "b/y", "zwei\nLicensed under CC BY-NC 4.0."), (8, None, None), (None, None, None)]
+    files = spark.createDataFrame([(*r, "z") for r in rows], "file_id bigint, path string, text string, token string")
+    got = sorted(((r["id"], r["path"], r["licence"]) for r in license_scan.scan(files).collect()), key=repr)
+    assert got == sorted([(None, "a/x", "MIT"), (None, "a/y", None), (7, "b/x", "MIT"), (7, "b/y", "CC-BY-NC-4.0"), (7, "b/y", "CC-BY-NC-4.0"), (8, "", None), (None, "", None)], key=repr)
+    assert license_scan.scan(files.limit(0)).count() == 0
 
 
 # 3: mixing
@@ -83,7 +161,7 @@ def test_mixing_query(spark):
     for r in rows:
         cells[r["source"], r["lang"], r["topic"]] += len(r["text"].encode().split())
     weight = {c: n / sum(cells.values()) for c, n in cells.items()}
-    share = [{v: n / sum(cells.values()) for v, n in _marginal(cells, 0).items()}, queries.TARGETS["lang"], queries.TARGETS["topic"]]
+    share = [{v: (n / sum(cells.values())) ** queries.TARGETS["source"] for v, n in _marginal(cells, 0).items()}, queries.TARGETS["lang"], queries.TARGETS["topic"]]
     for i in range(3):
         live = _marginal(cells, i)
         share[i] = {v: share[i].get(v, 0) for v in live}
@@ -158,6 +236,38 @@ def test_decontamination_passes_agree(spark):
     assert size > 4 * 1000  # so that there are several passes
 
 
+def test_long_items_and_blocks_of_phrases(spark, monkeypatch):
+    """Pieces of an item, and blocks of phrases, give what the whole does."""
+    docs, bench = (spark.read.parquet(f"{SMALL}/{x}.parquet") for x in ("documents", "benchmark"))
+    whole = sorted(map(tuple, decontam.decontaminate(docs, bench).collect()), key=repr)
+    monkeypatch.setattr(decontam, "PIECE", 7)
+    monkeypatch.setattr(decontam, "PHRASES", 50)
+    items = collections.defaultdict(list)
+    for r in decontam.pieces_of(bench, "item_id", "text", 10).collect():
+        items[r["i"]].append(r["t"].split())
+    windows = lambda w: {tuple(w[k : k + 10]) for k in range(max(min(1, len(w)), len(w) - 9))}
+    for r in bench.collect():
+        words = [w.decode() for w in decontam.words_of((r["text"] or "").encode())]
+        assert set().union(*map(windows, items[str(r["item_id"])])) == windows(words)
+    few = [(r["i"], r["t"].encode()) for r in decontam.pieces_of(bench, "item_id", "text", 10).collect()]
+    phrases = decontam.Phrases(few)
+    assert len(phrases.blocks) > 3
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    got = decontam.scan_shard([np.array([phrases.vocabulary.get(w, 0) for w in decontam.words_of((t or "").encode())]) for t in texts], phrases)
+    assert sorted(got) == sorted(x[1:] for x in [(r[0], r[1], r[2], r[3], r[4], r[5]) for r in whole])
+
+
+def test_sampled_positions_are_an_eighth():
+    rng = np.random.default_rng(2)
+    runs = rng.integers(1, 50, 20_000)
+    runs[::500] = 0
+    runs[-1] = 0
+    index = decontam.FMIndex(runs, 50)
+    assert len(index.places) < len(runs) / 8 + 2 * (runs == 0).sum()
+    rows = np.arange(len(runs))
+    assert sorted(index.locate(rows).tolist()) == rows.tolist()
+
+
 # 5 and 6: compression classifiers
 
 
@@ -190,6 +300,79 @@ def test_compressed_sizes():
     assert list(x) == [0, 1.5, 3] and list(p) == sorted(p)
 
 
+def least_md5(ids):
+    return sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+
+
+def whole_texts(texts, limit):
+    out = b""
+    for t in dict.fromkeys(texts):
+        if len(out) >= limit:
+            break
+        out += (b"\n" if out else b"") + t
+    return out[:limit]
+
+
+def packed_size(text, content, block):
+    import zstandard
+
+    shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    shared.precompute_compress(level=3)
+    press = zstandard.ZstdCompressor(level=3, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)
+    return sum(len(press.compress(text[i : i + block])) for i in range(0, len(text), block))
+
+
+def test_language_query_by_brute_force(spark):
+    """Dictionaries of whole texts of least md5, then the smallest size of every whole text."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    learn = [i for i in least_md5(rows) if zlib.crc32(str(i).encode()) % 4 != 2]
+    by = collections.defaultdict(list)
+    for i in learn:
+        by[rows[i]["lang"]].append(rows[i]["text"])
+    contents = {}
+    for lang, texts in by.items():  # texts of together 512 KiB
+        size = np.cumsum([0, *(len(t.encode()) for t in texts[0:800:2])])
+        contents[lang] = whole_texts([langid.plain(t) for t, n in zip(texts[0:800:2], size, strict=False) if n < 1 << 19], 1 << 19)
+    model = langid.fit(docs, F.coalesce(common.crc_mod("doc_id", 4) != 2, F.lit(False)))
+    assert model.dictionaries.contents == contents
+    got = table(queries.op5_language_id(spark, MEDIUM))
+    for i in least_md5(rows)[:150]:
+        sizes = {lang: packed_size(langid.plain(rows[i]["text"]), content, 512) for lang, content in contents.items()}
+        order = sorted(sizes, key=lambda x: (sizes[x], -len(by[x]), x))
+        margin = (sizes[order[1]] - sizes[order[0]]) / sizes[order[1]]
+        if got[i]["lang_pred"] != "und":
+            assert got[i]["lang_pred"] == order[0] and math.isclose(got[i]["margin"], margin, abs_tol=1e-12)
+            assert math.isclose(got[i]["score"], 1 / (1 + math.exp(-(model.slope * margin + model.intercept))), rel_tol=1e-9)
+            assert got[i]["accepted"] == (got[i]["score"] >= 0.5 and margin >= 0.01)
+
+
+def test_quality_query_by_brute_force(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    text, label = documents(spark, MEDIUM), {r["doc_id"]: r["quality"] for r in labels.collect()}
+    learn = [i for i in least_md5(label) if zlib.crc32(str(i).encode()) % 4 != 2 and label[i] in (0, 1)]
+    by = {v: [text[i] for i in learn if label[i] == v][:2000] for v in (0, 1)}
+    lines = collections.Counter(line for t in {*by[0], *by[1]} for line in set(t.split("\n")))
+    own = [whole_texts(["\n".join(x for x in t.split("\n") if lines[x] == 1).encode() for t in by[v]], 1 << 20) for v in (0, 1)]
+    least = min(map(len, own))
+    model = quality.fit(docs, labels, F.coalesce(common.crc_mod("id", 4) != 2, F.lit(False)))
+    assert model.dictionaries.contents == {"bad": own[0][:least], "good": own[1][:least]}
+    got = table(queries.op6_quality_classifier(spark, MEDIUM))
+    for i in least_md5(text)[:150]:
+        t = text[i].encode()
+        x = (packed_size(t, own[0][:least], 128) - packed_size(t, own[1][:least], 128)) / len(t)
+        smooth = 1 / (1 + math.exp(-(model.slope * x + model.intercept)))
+        assert math.isclose(got[i]["score"], 0.98 * float(np.interp(x, *model.knots)) + 0.02 * smooth, rel_tol=1e-9)
+
+
+def test_narrow_margins_are_rejected(spark):
+    rows = [(i, f"wort{i} gleich", "de" if i % 2 else "en") for i in range(6)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True))
+    got = langid.identify(spark.createDataFrame([(1, "ΑΒΓ αβγ")], "doc_id bigint, text string"), model, least_score=0.0).first()
+    assert got["margin"] < 0.01 and not got["accepted"]
+
+
 # 7: chat formatting
 
 
@@ -223,6 +406,23 @@ def test_merkle_edits(spark):
     assert sorted(map(tuple, merkle.edits(before, after).collect())) == [(1, 1, 1), (1, 1, 2)]
 
 
+def test_likeness_after_insertions(spark):
+    """A word put in anywhere changes the leaves around it; others keep their nodes."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abdefgnorstu") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    text = lambda w: "\n".join(" ".join(w[i : i + 50]) for i in range(0, len(w), 50))
+    one = " ".join(words)
+    rows = [(one, one), (one, "neu " + one), (one, one + " neu"), (one, " ".join([*words[:200], "neu", *words[200:]])), (text(words), text(words).replace("\n", "\n\n", 1)), (one, "ganz anders als vorher")]
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", merkle.tree(F.col("a")).alias("x"), merkle.tree(F.col("b")).alias("y"))
+    like = merkle.likeness(merkle.root(F.col("x")), merkle.leaves(F.col("x")), merkle.root(F.col("y")), merkle.leaves(F.col("y")))
+    got = [r["like"] for r in df.select(like.alias("like")).collect()]
+    assert got[0] == 1 and all(0.9 < x < 1 for x in got[1:4]) and got[5] < 0.1
+    back = df.select("a", F.transform("x", lambda s: F.size(s["paragraphs"])).alias("n")).collect()
+    assert [r["n"] for r in back] == [[1 + p.count("\n") for p in r["a"].split("\n\n")] for r in back]
+    pieces = spark.createDataFrame([(t,) for t in (one, "", " ", "a", "a  b c  d\te es. x", "es es es es ", "x" * 5000)], "p string").select("p", F.regexp_extract_all("p", F.lit(merkle.LEAF), F.lit(0)).alias("l")).collect()
+    assert all("".join(r["l"]) == r["p"] for r in pieces)
+
+
 def test_next_with_ties_and_gaps(spark):
     rng = random.Random(3)
     rows = [(i, f"t{i}") for i in rng.sample(range(10**12), 300)] + [(7, "x"), (7, "y"), (7, "y"), (None, "n1"), (None, "n2"), (9, None)]
@@ -355,10 +555,67 @@ def test_forward_and_counts():
 
 
 def test_model_is_a_distribution(spark):
-    """Over one-word texts, seen words, one unseen word per hashed class, and the empty text, times the chance to end: at most 1."""
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a", "b c", "a", "c c b d", ""] * 4)], "doc_id bigint, text string")
-    out = hmm.score(docs, F.lit(False), states=2, own=2, hashed=2)
-    assert all(r["score"] < 0 and r["base_score"] < 0 for r in out.collect())
+    """The empty text and all one-word texts, of every seen word and one unseen word for each class of endings: together
+    they have no more than probability 1, and no less than what ends after a word at most."""
+    train = [(i, t) for i, t in enumerate(["a b a", "b c", "a", "c c b d", ""] * 4)]
+    unseen = {}
+    for n in range(1000):
+        unseen.setdefault(hmm.ending(b"u%d" % n, 2, 2), f"u{n}")
+    probe = [(1000 + i, t) for i, t in enumerate(["", "a", "b", "c", "d", *unseen.values()])]
+    assert set(unseen) == {3, 4}
+    docs = spark.createDataFrame(train + probe, "doc_id bigint, text string")
+    out = table(hmm.score(docs, F.col("id") >= 1000, states=2, own=2, hashed=2), "id")
+    assert all(r["score"] < 0 and r["base_score"] < 0 for r in out.values())
+    total = sum(10 ** out[i]["score"] for i, _ in probe)
+    assert 0.2 < total <= 1 + 1e-9
+    assert sum(10 ** out[i]["base_score"] for i, _ in probe[:5]) < 1
+
+
+def test_score_by_brute_force(spark, monkeypatch):
+    """Of every text, by a given chain: the plain forward sum over its words' classes, and each word within its class."""
+    own, hashed = 40, 6
+    chain = some_chain(3, 1 + own + hashed, seed=9)
+    monkeypatch.setattr(hmm, "trained", lambda *_: (chain, []))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(10**6, "nie gesehen!"), (10**6 + 1, None)], "doc_id bigint, text string"))
+    words = {r["doc_id"]: (r["text"] or "").encode().translate(common.LOWER).split() for r in docs.collect()}
+    count = collections.Counter(w for i, ws in words.items() if zlib.crc32(str(i).encode()) % 10 for w in ws)
+    place = {w: k + 1 for k, w in enumerate(sorted(count, key=lambda w: (-count[w], w))[:own])}
+    of = lambda w: place.get(w) or hmm.ending(w, own, hashed)
+    size, kinds = collections.Counter(), collections.Counter()
+    for w, n in count.items():
+        size[of(w)] += n
+        kinds[of(w)] += 1
+    within = lambda w: 0.0 if w in place else math.log10((count[w] + 0.1) / (size[of(w)] + 0.1 * (kinds[of(w)] + 1)))
+    got = table(hmm.score(docs, common.crc_mod("id", 10) == 0, states=3, own=own, hashed=hashed, block_words=5000), "id")
+    for i, ws in words.items():
+        want = naive_log(chain, [*map(of, ws), hmm.END]) / math.log(10) + sum(map(within, ws))
+        assert math.isclose(got[i]["score"], want, rel_tol=1e-9), i
+
+
+def test_training_raises_the_likelihood(spark):
+    """Counts of a mixture by brute force; and rounds over blocks, which climb."""
+    rng = np.random.default_rng(3)
+    weight, emit = np.array([0.3, 0.7]), rng.random((5, 2))
+    emit /= emit.sum(axis=0)
+    sizes, sequence = np.array([3, 1, 4]), rng.integers(0, 5, 8)
+    sums, total = hmm.mixture(weight, emit, sequence, sizes, at_once=2)
+    texts, emitted, log = np.zeros(2), np.zeros((5, 2)), 0.0
+    for part in np.split(sequence, np.cumsum(sizes)[:-1]):
+        p = weight * np.prod(emit[part], axis=0)
+        log += math.log(p.sum())
+        texts += p / p.sum()
+        for c in part:
+            emitted[c] += p / p.sum()
+    assert np.allclose(sums, [*texts, *emitted.ravel()]) and math.isclose(total, log)
+    kind = "kind string, block bigint, bucket int, ids array<bigint>, held array<boolean>, sizes array<bigint>, words binary, counts binary, classes binary"
+    rows = []
+    for block in range(3):
+        n = [int(x) for x in rng.integers(1, 30, 40)]
+        classes = np.concatenate([rng.integers(1, 4, k) if t % 2 else rng.integers(3, 6, k) for t, k in enumerate(n)])
+        rows.append(("texts", block, -1, list(range(40)), [t % 10 == 0 for t in range(40)], n, np.arange(sum(n), dtype=np.uint32).tobytes(), None, classes.astype(np.uint16).tobytes()))
+    chain, climbed = hmm.trained(spark.createDataFrame(rows, kind), np.ones(6) * 300, 2, 3, 5, -1.0)
+    assert len(climbed) == 5 and climbed[-1] > climbed[0] and np.allclose(chain.emit.sum(axis=0), 1)
 
 
 def test_own_words_are_the_most_frequent(spark):
@@ -420,7 +677,7 @@ def test_odd_documents(spark, which, request):
     assert mixed.select(*mixing.columns_of(mixed, docs)).columns == docs.columns
     assert merkle.with_next(docs).count() == n and merkle.nodes(docs).where("section is null").count() == n
     files = docs.select(F.col("doc_id").alias("file_id"), F.lit(None).cast("string").alias("path"), "text")
-    assert license_scan.scan(files).count() >= n
+    assert license_scan.scan(files).count() == n
     chats = docs.select(F.col("doc_id").alias("conv_id"), F.lit(None).cast("bigint").alias("turn"), F.lit(None).cast("string").alias("role"), "text", "id", "key")
     assert chat.format_chats(chats, queries.TOKENIZER).count() == docs.select("doc_id").distinct().count()
     urls = docs.select(F.col("doc_id").alias("page_id"), F.col("text").alias("url"), "id")

@@ -22,7 +22,8 @@ def test_stages(spark):
     model = quality.fit(docs, table(spark, SF, "labels"), F.coalesce(crc_mod(F.col("id"), 4) != 2, F.lit(False)))
     assert set(rows[1]) == {i for i, r in rows[0].items() if model.score(r["text"].encode()) >= pipeline.LEAST_QUALITY}
     model = langid.fit(outs[1], F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(False)))
-    assert set(rows[2]) == {i for i, r in rows[1].items() if (p := model.predict(r["text"]))[0] != "und" and p[1] >= pipeline.LEAST_LANGUAGE}
+    assert set(rows[2]) == {i for i, r in rows[1].items() if (p := model.predict(r["text"]))[0] != "und" and p[1] >= pipeline.LEAST_LANGUAGE and p[2] >= 0.01}
+    assert all(r["lang"] == model.predict(r["text"])[0] for r in rows[2].values())
     left, _ = brute_force({i: r["text"] for i, r in rows[2].items()})
     assert set(rows[3]) == left
     items = {tuple(w[i : i + 10]) for r in table(spark, SF, "benchmark").collect() for w in [decontam.words_of(r["text"].encode())] for i in range(len(w) - 9)}
