@@ -20,8 +20,9 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """From here on `lang` is the language that was told, which the mixture goes by."""
     learn = F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(False))
-    return langid.accepted(docs, langid.fit(docs, learn), LEAST_LANGUAGE)
+    return langid.accepted(docs, langid.fit(docs, learn), LEAST_LANGUAGE, told_col="lang")
 
 
 def by_likeness(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,15 +34,15 @@ def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-#: Target marginals: languages that aren't named, and documents without one, keep their own share of tokens; of the rest
-#: English is held at 45 %.  Other dimensions keep their own shares, unless given.
-TARGETS = {"lang": {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.15}}
+#: Target marginals: languages that aren't named keep their own share of tokens; of the rest English is held at 45 %.
+#: Sources go by a power of their own shares, so that a hot one doesn't fill the mixture.
+TARGETS = {"source": 0.7, "lang": {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.15}}
 BUDGET = 0.7
 
 
 def by_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, mixing.topic_of(F.col("text")), TARGETS, BUDGET)
-    return mixed.select(*mixing.columns_of(mixed, docs), *(F.col(c).alias(f"mix_{c.removeprefix('mix_')}") for c in ("topic", "n_tokens", "chance", "mix_weight")))
+    return mixed.select(*mixing.columns_of(mixed, docs), *(F.col(c).alias(f"mix_{c.removeprefix('mix_')}") for c in ("topic", "n_tokens", "chance", "mix_weight", "margin_miss")))
 
 
 STAGES = [
