@@ -5,9 +5,9 @@ shingles of two sets' union each is in both with the sets' similarity as probabi
 meet once in ten million.  Nodes that meet are compared by SimHashes of 1,024 bits inside the task, which a pair of that
 similarity fails once in thirty thousand, one of 0.83 once in a hundred million; what is left is compared by the whole sets.
 
-A crowded shingle, as of a passage that many texts share, is split by the nodes' SimHashes: each stands under its 16-bit
-segments and these with one set bit cleared.  A pair of similarity 0.8 that meets under crowded shingles only meets there
-with a probability of 0.9999.
+A crowded shingle, as of a passage that many texts share, is split by the nodes' SimHashes: each stands under SEGMENTS of
+16 bits and these with one set bit cleared.  A pair of similarity 0.8 that meets under crowded shingles only meets there
+with a probability of 0.994 for each of them.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ WIDE, KEYS = 16, 10
 #: From that number of shingles on, the share of differing bits follows the law of many.
 LARGE = 64
 #: A shingle is crowded if more nodes than that stand under it.  Crowded shingles up to MOST_BROADCAST are broadcast.
-CROWDED, MOST_BROADCAST = 16384, 500_000
+CROWDED, SEGMENTS, MOST_BROADCAST = 4096, 16, 500_000
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -110,29 +110,32 @@ def node_of(grams: np.ndarray) -> int:
 
 
 def measured(docs: DataFrame, size: int) -> DataFrame:
-    """(id, digest, node, n, fp, wide, keys) of docs (id, text, digest): a text's set, its size, fingerprints and keys."""
+    """(id, digest, node, n, fp, wide, keys, packed) of docs (id, text, digest): a text's set, its size, fingerprints and
+    keys, these also as KEYS numbers in a row, the last one repeated."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             sets = [shingles(t, size) for t in as_bytes(batch.column(1))]
             fps = [wide(s) for s in sets]
-            keys = pa.array([s[:KEYS].view(np.int64) for s in sets], pa.list_(pa.int64()))
-            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([x[0] for x in fps]).view(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), keys]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "digest", "node", "n", "fp", "wide", "keys"])
+            own = [s[:KEYS].view(np.int64) for s in sets]
+            keys, packed = pa.array(own, pa.list_(pa.int64())), pa.array([np.pad(k, (0, KEYS - len(k)), "edge" if len(k) else "constant").tobytes() for k in own], pa.binary())
+            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([x[0] for x in fps]).view(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), keys, packed]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "digest", "node", "n", "fp", "wide", "keys", "packed"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "digest").mapInArrow(run, f"id {kind}, digest string, node bigint, n bigint, fp bigint, wide binary, keys array<bigint>")
+    return docs.select("id", "text", "digest").mapInArrow(run, f"id {kind}, digest string, node bigint, n bigint, fp bigint, wide binary, keys array<bigint>, packed binary")
 
 
 def posts(nodes: DataFrame, most: int) -> DataFrame:
-    """(gram, node) of nodes (node, wide, keys): the groups in which nodes meet; crowded ones split."""
-    rows = nodes.select("node", "wide", F.explode("keys").alias("gram"))
-    crowded = stored(rows.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram"), "crowded-shingles")
+    """(gram, node, key) of nodes (node, wide, keys): the groups in which nodes meet, under which of their keys; the groups
+    of crowded keys are split."""
+    rows = nodes.select("node", "wide", F.explode("keys").alias("key"))
+    crowded = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key"), "crowded-shingles")
     broadcast = crowded.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    rows = rows.join(crowded.withColumn("many", F.lit(True)).hint("broadcast" if broadcast else "merge"), "gram", "left")
-    segment = f"transform(sequence(0, {4 * WIDE - 1}), i -> struct(i, cast(conv(hex(substring(wide, 2 * i + 1, 2)), 16, 10) as int) as h))"
-    variants = "flatten(transform({0}, s -> transform(concat(array(0), transform(filter(sequence(0, 15), p -> (s.h & shiftleft(1, p)) != 0), p -> shiftleft(1, p))), m -> xxhash64(gram, s.i, s.h ^ m))))".format(segment)
-    return rows.select("node", F.explode(F.expr(f"if(many, {variants}, array(gram))")).alias("gram"))
+    rows = rows.join(crowded.withColumn("many", F.lit(True)).hint("broadcast" if broadcast else "merge"), "key", "left")
+    segment = f"transform(sequence(0, {SEGMENTS - 1}), i -> struct(i, cast(conv(hex(substring(wide, 2 * i + 1, 2)), 16, 10) as int) as h))"
+    variants = "flatten(transform({0}, s -> transform(concat(array(0), transform(filter(sequence(0, 15), p -> (s.h & shiftleft(1, p)) != 0), p -> shiftleft(1, p))), m -> xxhash64(key, s.i, s.h ^ m))))".format(segment)
+    return rows.select("node", "key", F.explode(F.expr(f"if(many, {variants}, array(key))")).alias("gram"))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: Fraction) -> DataFrame:
@@ -207,15 +210,19 @@ def nearest(groups: DataFrame, least: Fraction, heads: bool) -> DataFrame:
 
 
 def all_pairs(groups: DataFrame, least: Fraction) -> DataFrame:
-    """(a, b): all pairs of nodes of different components that can be near enough by size and fingerprint."""
+    """(a, b): all pairs of nodes of different components that can be near enough by size and fingerprint.  A pair comes
+    from the group of the least key that both have."""
     bits = most_bits(least)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, node, n, root, fp in whole_keys(batches, 5):
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for gram, node, n, root, fp, key, packed in whole_keys(batches, 7):
+            keys, found = packed.view(np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for i, j in _steps(gram, root):
                 near, _ = _may_be_near(n[i], n[j], fp[i], fp[j], least, bits)
-                found.append((node[i[near]], node[j[near]]))
+                i, j = i[near], j[near]
+                before = (keys[i][:, :, None] == keys[j][:, None, :]) & (keys[i] < key[i][:, None])[:, :, None]
+                first = ~before.any(axis=(1, 2))
+                found.append((node[i[first]], node[j[first]]))
             pairs = np.unique(np.sort(np.stack([np.concatenate(x) for x in zip(*found, strict=True)], axis=1), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -230,20 +237,21 @@ def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFr
     head of its groups; each with the nearest member of another component; then all that can be near and still lie in
     different components."""
     deal = lambda df: df.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram")
-    of_node = stored(rows.join(nodes.select("node", "id", "digest"), ["node", "id", "digest"], "left_semi").select("node", "n", "wide", "keys").dropDuplicates(["node"]), "node-sets")
+    of_node = stored(rows.join(nodes.select("node", "id", "digest"), ["node", "id", "digest"], "left_semi").select("node", "n", "wide", "keys", "packed").dropDuplicates(["node"]), "node-sets")
     drop_stored(rows)
     group = Window.partitionBy("gram")
-    met = deal(posts(of_node, crowded)).select("gram", "node", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("high"))
-    shared = stored(met.where("low != high").select("gram", "node"), "shared-shingles")
+    met = deal(posts(of_node, crowded)).select("gram", "node", "key", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("high"))
+    shared = stored(met.where("low != high").select("gram", "node", "key"), "shared-shingles")
 
     def groups(links: DataFrame | None) -> DataFrame:
-        """(gram, node, n, root, wide), dealt and sorted by gram; with links only of groups that span several components."""
+        """(gram, node, n, root, wide, key, packed), dealt and sorted by gram; with links only of groups that span several
+        components."""
         if links is None:
-            full = deal(shared.join(of_node.select("node", "n", F.col("node").alias("root"), "wide"), "node"))
+            full = deal(shared.join(of_node.select("node", "n", F.col("node").alias("root"), "wide", "packed"), "node"))
         else:
-            rooted = of_node.select("node", "n", "wide").join(components(links).distinct(), "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), "wide")
+            rooted = of_node.drop("keys").join(components(links).distinct(), "node", "left").withColumn("root", F.coalesce("root", "node"))
             full = deal(shared.join(rooted, "node")).select("*", F.min("root").over(group).alias("low"), F.max("root").over(group).alias("high")).where("low != high")
-        return full.select("gram", "node", "n", "root", "wide").sortWithinPartitions("gram")
+        return full.select("gram", "node", "n", "root", "wide", "key", "packed").sortWithinPartitions("gram")
 
     links = None
     for found in (lambda: first.unionByName(nearest(groups(None), least, heads=True)), lambda: nearest(groups(links), least, heads=False), lambda: all_pairs(groups(links), least)):
