@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +85,7 @@ def format_chats(rows: DataFrame, tokenizer_path: str, loss_roles: tuple[str, ..
             texts, spans = zip(*(render(turns) for _, turns in done), strict=True)
             columns: list[list] = [[name for name, _ in done], list(texts), [], [], [], [], []]
             for (_, turns), places, code in zip(done, spans, encoder.encode_batch(list(texts), add_special_tokens=False), strict=True):
-                offsets = np.array(code.offsets, np.int32).reshape(-1, 2)
+                offsets = np.fromiter(chain.from_iterable(code.offsets), np.int32, 2 * len(code)).reshape(-1, 2)
                 masked = np.array([place for (role, _), place in zip(turns, places, strict=True) if role in loss_roles], np.int32).reshape(-1, 2)
                 begin = np.searchsorted(offsets[:, 0], masked[:, 0], "left")
                 end = np.searchsorted(offsets[:, 0], masked[:, 1], "left")

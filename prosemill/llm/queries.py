@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,18 +63,24 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chat_digests(chats: DataFrame) -> DataFrame:
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+
+    def parts(column: pa.ListArray) -> list[np.ndarray]:
+        """The lists as pieces of the one array that holds them; no number becomes an object."""
+        return np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            out: list[list] = [[] for _ in names[1:]]
-            for i in range(batch.num_rows):
-                text, first, last, begin, end = (batch.column(c)[i].as_py() for c in ("formatted", "token_starts", "token_ends", "loss_starts", "loss_ends"))
-                turns = chat.parsed(text)
-                masked = "".join(chat.unescaped(text[first[a] : last[b - 1]]) for a, b in zip(begin, end, strict=True) if b > a)
-                row = (len(turns), hashlib.sha256("".join(f"{role}\n{said}\n" for role, said in turns).encode()).hexdigest(), len(masked), hashlib.sha256(masked.encode()).hexdigest(), len(text))
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *(pa.array(c) for c in out)], names=names)
+            rows = []
+            for text, *places in zip(batch.column("formatted").to_pylist(), *(parts(batch.column(c)) for c in ("token_starts", "token_ends", "loss_starts", "loss_ends")), strict=True):
+                first, last, begin, end = places
+                turns, some = chat.parsed(text), end > begin
+                masked = "".join(chat.unescaped(text[a:b]) for a, b in zip(first[begin[some]].tolist(), last[end[some] - 1].tolist(), strict=True))
+                rows.append((len(turns), sha("".join(f"{role}\n{said}\n" for role, said in turns)), len(masked), sha(masked), len(text)))
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *map(pa.array, zip(*rows, strict=True))], names=names)
 
     return chats.mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
