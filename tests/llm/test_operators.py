@@ -682,3 +682,43 @@ def test_odd_documents(spark, which, request):
     assert chat.format_chats(chats, queries.TOKENIZER).count() == docs.select("doc_id").distinct().count()
     urls = docs.select(F.col("doc_id").alias("page_id"), F.col("text").alias("url"), "id")
     assert url_filter.filter_urls(urls, labels.select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))).count() == n
+
+
+def test_repeated_and_clashing_rows(spark):
+    """Repeated rows, and columns with the names that operators use inside, change no result of a row."""
+    names = "digest string, node string, n string, gram string, root string, leaves string, tree string, host string, name string, domain string, suffix string, unit string, said string, licence string, held string, lang_pred string, tokens string"
+    base = [(1, "eins zwei drei vier\n\nfünf sechs sieben"), (1, "eins zwei drei vier\n\nfünf sechs sieben"), (2, None), (3, "eins zwei drei acht")]
+    full = spark.createDataFrame([(*r, *["?"] * 17) for r in base], f"doc_id bigint, text string, {names}")
+    bare = full.select("doc_id", "text")
+    rows = lambda df: sorted(map(str, df.collect()))
+    bench = spark.createDataFrame([(1, "zwei drei"), (1, "zwei drei"), (2, None)], "item_id bigint, text string")
+    assert rows(decontam.decontaminate(full, bench)) == rows(decontam.decontaminate(bare, bench))
+    assert rows(merkle.with_next(full)) == rows(merkle.with_next(bare)) and rows(merkle.nodes(full)) == rows(merkle.nodes(bare))
+    assert rows(simhash.near_duplicates(full)) == rows(simhash.near_duplicates(bare)) and rows(simhash.near_texts(full)) == rows(simhash.near_texts(bare))
+    assert rows(hmm.score(full, F.lit(False), own=3, hashed=2)) == rows(hmm.score(bare, F.lit(False), own=3, hashed=2))
+    assert simhash.deduplicated(full).columns == full.columns and simhash.deduplicated(full).count() == 3
+    marked = full.withColumn("lang", F.lit("de"))
+    assert langid.accepted(marked, langid.fit(marked, F.lit(True)), told_col="lang").columns == marked.columns
+    assert [r["n"] for r in mixing.mix(full.withColumns({"source": F.lit("s"), "lang": F.lit(None).cast("string")}), F.lit("t"), {}, 1.0).agg(F.count("*").alias("n")).collect()] == [4]
+    urls = full.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b.com/x").alias("url"), "host", "name", "domain", "suffix")
+    outcomes = spark.createDataFrame([(1, 1, "?"), (1, 1, "?"), (3, 0, "?")], "page_id bigint, good int, host string")
+    got = url_filter.filter_urls(urls, outcomes).collect()
+    assert len(got) == 4 and {(r["labelled"], r["good"]) for r in got} == {(5, 4)}
+    assert url_filter.filter_urls(urls.limit(0), outcomes).count() == 0 and url_filter.filter_urls(urls, outcomes.limit(0)).where("abs(posterior_mean - 0.5) < 1e-9").count() == 4
+    chats = full.select(F.col("doc_id").alias("conv_id"), F.lit(1).alias("turn"), F.lit("assistant").alias("role"), "text", "name", "n")
+    assert sorted(r["formatted"].count("<|im_start|>") for r in chat.format_chats(chats, queries.TOKENIZER).collect()) == [1, 1, 2]
+    assert chat.format_chats(chats.limit(0), queries.TOKENIZER).count() == 0
+
+
+def test_very_long_lines_and_paragraphs(spark):
+    """One line of a megabyte: no stack is exhausted, nothing is cut."""
+    long = "wort " * 200_000
+    docs = spark.createDataFrame([(1, long + "Licensed under the MIT license."), (2, "x" * 1_000_000), (3, "a. " * 300_000)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["n"] for r in docs.select("doc_id", F.size(merkle.leaves(merkle.tree(F.col("text")))).alias("n")).collect()}
+    assert got[2] == 1 and 1 <= got[1] <= 3 and got[3] >= 1
+    back = docs.select(F.length(F.array_join(F.regexp_extract_all("text", F.lit(merkle.LEAF), F.lit(0)), "")).alias("m"), F.length("text").alias("n")).collect()
+    assert all(r["m"] == r["n"] for r in back)
+    files = docs.select(F.col("doc_id").alias("file_id"), F.lit("a/b").alias("path"), "text")
+    assert license_scan.scan(files).count() == 3
+    assert {r["component_id"] for r in simhash.near_duplicates(docs).collect()} == {1, 2, 3}
+    assert hmm.score(docs, F.lit(False), own=3, hashed=2).where("score < 0").count() == 3
