@@ -47,6 +47,7 @@ def category(names: str) -> str:
     return rf"\[\[{S}*(?:Kategorie|Category){S}*:[^\]]*{names}[^\]]*\]\]"
 
 
+# The formats that the rules look for; a rule's result is what its format matches.
 NAMESPACE_TITLE = rf"{I}^{any_of(NAMESPACES)}:"
 LIST_TITLE = rf"{I}^{any_of(LIST_HEADS)}{S}+{any_of(LIST_LINKS)}{NB}"
 REDIRECT = rf"{I}^{S}*#{S}*(?:redirect|weiterleitung){NB}"
@@ -76,7 +77,7 @@ LINK_TARGET = rf"\[\[{S}*+([^\[\]|#:]++)(?:[|#][^\[\]]*+)?\]\]"
 #: A link with a target that names no namespace; colons before it don't count.
 CONTENT_LINK = rf"{I}\[\[{S}*+:*+{S}*+(?=[^\[\]|])(?!{any_of(LINK_NAMESPACES)}:)[^\[\]]++\]\]"
 
-# The sanitizer's steps in their order, up to the appendix step: (name, pattern, replacement).
+# The sanitizer's steps in their order, up to the appendix step: (name, pattern, replacement).
 BEFORE_ENTITIES = (("comments", r"(?s)<!--.*?-->", ""),)
 _PAIR = rf"\p{{Nd}}{{1,3}}{S}*°{S}*\p{{Nd}}{{1,2}}(?:[.,]\p{{Nd}}+)?{S}*[′']?(?:{S}*\p{{Nd}}{{1,2}}(?:[.,]\p{{Nd}}+)?{S}*[″\"]?)?{S}*"
 _DEGREE = rf"\p{{Nd}}{{1,3}}(?:[.,]\p{{Nd}}+)?{S}*°{S}*"

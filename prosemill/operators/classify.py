@@ -20,8 +20,9 @@ from ..functions.text import content_links, strip, word_count
 from ..options import DEFAULT, Options
 
 _MARK = regex.compile(r"\{\{|\}\}|\|")
+# The banner's names, scopes that spare the page, and how a parameter is named.
 _BANNER = regex.compile(r"\{\{\s*(?:belege\s*fehlen|belegt\s*nicht)\s*[|}]", regex.IGNORECASE)
-_PARTIAL = regex.compile("abschnitt|absatz|absätz|tabelle", regex.IGNORECASE)  # fixed values: scopes that spare the page
+_PARTIAL = regex.compile("abschnitt|absatz|absätz|tabelle", regex.IGNORECASE)
 _NAMED = regex.compile(r"\s*(\d+|[A-Za-z_]\w*)\s*=")
 _HEADING = regex.compile(r"^={2,6}", regex.MULTILINE)
 

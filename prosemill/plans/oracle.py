@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions import patterns as P
 from ..options import DEFAULT
 from .adapter import pages_sql
 from .queries import DEMO_EXTRA, DEMO_TITLES, MISSPELLED, SMALL, TERM
@@ -28,29 +29,36 @@ def strip(expression: str) -> str:
     return sub(expression, f"^{WS}+|{WS}+$")
 
 
-NAMES = "Datei|File|Image|Kategorie|Category|Vorlage|Template|Hilfe|Help|Portal|Wikipedia|Spezial|Diskussion|Talk|Benutzer|User|Medium|MediaWiki|Modul|Module"
+
+
+def one_of(words: tuple[str, ...]) -> str:
+    """The rules' word lists, with white space as this dialect has it."""
+    return "(" + "|".join(w.replace(P.S, r"\s") for w in words) + ")"
+
+
+NAMES = one_of(P.NAMESPACES)
 PAGES = f"src AS ({pages_sql('documents')}), pages AS (SELECT page_id, part, {strip('title')} AS title, raw FROM src)"
 #: The adapter's banners are never nested, so their scope can be read off with patterns: bare and before any heading, or
 #: with a scope that names the whole article.
-BEFORE_BANNER = "split_part(raw, '{{Belege fehlen}}', 1)"
-WHOLE = hit("raw", r"\{\{Belege fehlen\|x\|2=Dieser Artikel\}\}")
-CITES = f"((contains(raw, '{{{{Belege fehlen}}}}') AND NOT regexp_matches({BEFORE_BANNER}, {lit('(?m)^={2,6}')})) OR {WHOLE})"
-QUALITY = hit("raw", r"\{\{\s*(werbung|ad|advertisement|promotion|promotional|pr|glaskugel|glaskugel2|recentism|recentismus|aktueller event|kurzlebig|zeitgeist)\s*(\||\}\})")
+BANNER = r"\{\{(?:Belege fehlen|Belegt nicht)\}\}"
+WHOLE = hit("raw", r"\{\{Belege fehlen\|x\|2=(Dieser Artikel|Der ganze Text)\}\}")
+CITES = f"((regexp_matches(raw, {lit(BANNER)}) AND NOT regexp_matches(regexp_extract(raw, {lit('(?s)^(.*?)' + BANNER)}, 1), {lit('(?m)^={2,6}')})) OR {WHOLE})"
+QUALITY = hit("raw", r"\{\{\s*" + one_of(P.QUALITY_TEMPLATES) + r"\s*(\||\}\})")
 OUTLOOK = "regexp_matches(raw, " + lit(r"(?im)^[ \t]*\{\{\s*(zukunftsmusik|zukunft\d?)\s*(\||\}\})") + ")"
 OLD = hit("raw", r"\{\{\s*veraltet\s*(\||\}\})")
 RULES = {
     "f01_empty_title": ("empty-title", "title = ''"),
-    "f02_namespace_title": ("namespace-title", hit("title", f"^({NAMES}):")),
-    "f03_list_title": ("list-article", hit("title", r"^(Liste|Verzeichnis|Übersicht|Index)\s+(von|der|des|den|dem)" + END)),
+    "f02_namespace_title": ("namespace-title", hit("title", f"^{NAMES}:")),
+    "f03_list_title": ("list-article", hit("title", f"^{one_of(P.LIST_HEADS)}{WS}+{one_of(P.LIST_LINKS)}" + END)),
     "f04_redirect": ("redirect", hit("raw", r"^\s*#\s*(redirect|weiterleitung)" + END)),
     "f05_disambiguation": ("disambiguation", hit("raw", r"\[\[\s*(Kategorie|Category)\s*:\s*Begriffsklärung")),
     "f06_stub": ("stub", hit("raw", r"\{\{\s*(substub|stub)\s*(\||\}\})")),
     "f07_quality_template": ("quality-template", f"(({QUALITY} OR {OUTLOOK} OR {CITES}) AND NOT {OLD})"),
-    "f08_promo_category": ("promo-category", hit("raw", r"\[\[\s*(Kategorie|Category)\s*:[^\]]*(reality-?show-?teilnehmer|reality-?tv-?teilnehmer|reality-?show-?kandidat|teilnehmer\s+einer\s+reality-?show|big[\s_-]*brother|dschungelcamp|internetphänomen|webvideoproduzent)[^\]]*\]\]")),
-    "f09_promo_title": ("promo-title", f"({hit('title', r'\((influencer(in)?|playmate|meme)\)$')} OR {hit('title', r'\((sänger(in)?|band|model),\s*\*(19[5-9]\d|20[01]\d)\)$')})"),
+    "f08_promo_category": ("promo-category", hit("raw", r"\[\[\s*(Kategorie|Category)\s*:[^\]]*" + one_of(P.PROMO_CATEGORIES) + r"[^\]]*\]\]")),
+    "f09_promo_title": ("promo-title", f"({hit('title', r'\(' + one_of(P.PROMO_TITLES) + r'\)$')} OR {hit('title', r'\(' + one_of(P.PROMO_ROLES) + r',\s*\*(19[5-9]\d|20[01]\d)\)$')})"),
     "f10_year_title": ("year-title", hit("title", r"^\d{1,4}(\s+v\.\s*Chr\.)?$")),
-    "f11_date_title": ("date-title", f"({hit('title', r'^\d{1,2}\.\s+(januar|februar|märz|april|mai|juni|juli|august|september|oktober|november|dezember)$')} OR {hit('title', r'^\d{1,2}\.\s+jahrhundert(\s+v\.\s*chr\.?)?$')})"),
-    "f12_episode_title": ("episode-title", f"({hit('title', START + r'(folge|staffel|episode|kapitel|teil)\s+\d+' + END)} OR {hit('title', START + r'\d+\.\s*(folge|staffel|episode|kapitel|teil)' + END)} OR {hit('title', START + r'(folgen?|staffeln?|episoden)liste' + END)} OR {hit('title', r'\(episode\)')})"),
+    "f11_date_title": ("date-title", f"({hit('title', r'^\d{1,2}\.\s+' + one_of(P.MONTHS) + '$')} OR {hit('title', r'^\d{1,2}\.\s+jahrhundert(\s+v\.\s*chr\.?)?$')})"),
+    "f12_episode_title": ("episode-title", f"({hit('title', START + one_of(P.EPISODE_WORDS) + r'\s+\d+' + END)} OR {hit('title', START + r'\d+\.\s*' + one_of(P.EPISODE_WORDS) + END)} OR {hit('title', START + r'(folgen?|staffeln?|episoden)liste' + END)} OR {hit('title', r'\(episode\)')})"),
     "f13_deletion_banner": ("deletion-banner", hit("raw", r"\{\{\s*(sla|löschantrag(stext)?|urv)\s*[|}]")),
 }
 REASON = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in RULES.values()) + " END"
@@ -79,7 +87,10 @@ def step(expression: str, *names: str) -> str:
 
 
 def decoded(expression: str) -> str:
-    return f"replace(replace({expression}, '&amp;', '&'), '&amp;', '&')"
+    """The adapter's entities, those in entities too."""
+    for name, sign in (("&amp;", "&"), ("&amp;", "&"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&#8211;", "–"), ("&#x41;", "A")):
+        expression = f"replace({expression}, '{name}', '{sign}')"
+    return expression
 
 
 def appendix(source: str, column: str, out: str) -> str:
@@ -87,7 +98,7 @@ def appendix(source: str, column: str, out: str) -> str:
     is an appendix (the adapter's deeper headings are never appendices)."""
     return rf"""{out}_lines AS (SELECT page_id, unnest(string_split({column}, chr(10))) AS line, generate_subscripts(string_split({column}, chr(10)), 1) AS n FROM {source}),
     {out}_marked AS (SELECT *, last_value(CASE WHEN regexp_matches(line, '^\s*==[^=].*==\s*$') THEN lower(trim(replace(line, '=', ''))) END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY n) AS section FROM {out}_lines),
-    {out} AS (SELECT s.page_id, coalesce(t.text, '') AS text FROM {source} s LEFT JOIN (SELECT page_id, string_agg(line, chr(10) ORDER BY n) AS text FROM {out}_marked WHERE coalesce(section, '') NOT IN ('einzelnachweise', 'literatur', 'weblinks', 'siehe auch') GROUP BY page_id) t USING (page_id))"""
+    {out} AS (SELECT s.page_id, coalesce(t.text, '') AS text FROM {source} s LEFT JOIN (SELECT page_id, string_agg(line, chr(10) ORDER BY n) AS text FROM {out}_marked WHERE coalesce(section, '') NOT IN {P.APPENDICES} GROUP BY page_id) t USING (page_id))"""
 
 
 def tidy(expression: str) -> str:
@@ -105,7 +116,7 @@ def words(expression: str) -> str:
 
 def content_links(expression: str) -> str:
     name = strip(sub(strip("split_part(x, '|', 1)"), "^:+"))
-    return f"len(list_filter(regexp_extract_all({expression}, '\\[\\[([^\\[\\]]+)\\]\\]', 1), lambda x: {name} <> '' AND NOT {hit(name, f'^({NAMES}|Abbildung|Bild):')}))"
+    return f"len(list_filter(regexp_extract_all({expression}, '\\[\\[([^\\[\\]]+)\\]\\]', 1), lambda x: {name} <> '' AND NOT {hit(name, f'^{one_of(P.LINK_NAMESPACES)}:')}))"
 
 
 MEASURED = f"measured AS (SELECT page_id, part, title, raw, text, {words('text')} AS words, {content_links('raw')} AS links FROM pages JOIN clean USING (page_id))"
@@ -139,7 +150,7 @@ GRAPH = f"""graph AS (SELECT page_id, part, title, raw, {TARGET} AS redirect FRO
     degree AS (SELECT target, count(*) AS indegree FROM ended GROUP BY target)"""
 TITLES = f"titles AS (SELECT {norm('title')} AS title, arg_min(title, (part, page_id)) AS first_title FROM pages WHERE title <> '' GROUP BY 1)"
 TIER = f"""tiered AS (SELECT a.*, coalesce(d.indegree, 0) AS indegree, CASE WHEN words >= 2000 THEN 1
-    WHEN {hit('title', r'\((figur|figuren|personen?|charaktere?|orte?|schauplätze?|handlung|welten?|universum)\)$')} OR {hit('raw', r'\[\[\s*(Kategorie|Category)\s*:[^\]]*(fernsehserien-?episode|episodenliste|figur\s+(in|aus)|figuren\s+(in|aus)|personen?\s+(in|aus))[^\]]*\]\]')} THEN 2
+    WHEN {hit('title', r'\(' + one_of(P.FICTION_SCOPES) + r'\)$')} OR {hit('raw', r'\[\[\s*(Kategorie|Category)\s*:[^\]]*' + one_of(P.FICTION_CATEGORIES) + r'[^\]]*\]\]')} THEN 2
     WHEN {hit('raw', r'\{\{\s*taxobox\s*[|}]')} AND words < 150 THEN 2 WHEN NOGRAPH coalesce(d.indegree, 0) < 4 AND words < 300 THEN 2 ELSE 1 END AS tier
     FROM accepted a LEFT JOIN degree d ON {norm('a.title')} = d.target)"""
 DEDUPED = "deduped AS (SELECT * FROM tiered QUALIFY row_number() OVER (PARTITION BY title ORDER BY part, page_id) = 1)"
@@ -172,7 +183,7 @@ POSTINGS = """fields AS (SELECT id, 0 AS col, lower(title) AS s FROM store UNION
     postings AS (SELECT trigram, id, col, count(*) AS tf FROM (SELECT id, col, unnest(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) AS trigram FROM fields) GROUP BY ALL)"""
 FOUND = f"found AS (SELECT id, title, tier FROM store WHERE contains(lower(title), {lit(TERM)}) OR contains(lower(content_sample), {lit(TERM)}))"
 KNOWN = "known AS (SELECT DISTINCT title FROM src WHERE page_id % 2 = 0)"
-OLD_RULE = hit("raw", r"\{\{\s*(werbung|ad|advertisement|promotion|promotional|pr|glaskugel|glaskugel2|recentism|recentismus|aktueller event|kurzlebig|zeitgeist|belege fehlen|belegt nicht)\s*(\||\}\})")
+OLD_RULE = hit("raw", r"\{\{\s*" + one_of((*P.QUALITY_TEMPLATES, "belege fehlen", "belegt nicht")) + r"\s*(\||\}\})")
 RESCUED = f"rescued AS (SELECT a.title, words, length(raw) AS chars, k.title IS NOT NULL AS in_store FROM accepted a LEFT JOIN known k ON a.title = k.title WHERE {OLD_RULE})"
 
 
