@@ -23,10 +23,14 @@ def _case(key: str, branches: dict[int, str], other: str) -> str:
     return f"CASE {key} " + " ".join(f"WHEN {k} THEN {v}" for k, v in branches.items()) + f" ELSE {other} END"
 
 
+def _pick(modulus: int, *values: str) -> str:
+    """SQL: the expressions in turn over the ids that share a residue of `modulus`."""
+    span = modulus * len(values)
+    return f"CASE doc_id % {span} - doc_id % {modulus} " + " ".join(f"WHEN {modulus * i} THEN {x}" for i, x in enumerate(values)) + " END"
+
+
 def _turn(modulus: int, *terms: str) -> str:
-    """SQL: the terms in turn over the ids that share a residue of `modulus`."""
-    span = modulus * len(terms)
-    return f"CASE doc_id % {span} - doc_id % {modulus} " + " ".join(f"WHEN {modulus * i} THEN '{x}'" for i, x in enumerate(terms)) + " END"
+    return _pick(modulus, *(f"'{x}'" for x in terms))
 
 
 LISTS = [f"{head} {link}" for head in P.LIST_HEADS for link in P.LIST_LINKS]
@@ -37,23 +41,18 @@ FICTION = ("Figur", "Figuren", "Person", "Charaktere", "Orte", "Schauplätze", "
 SHOWS = ("Reality-Show-Teilnehmer", "Realitytv-Teilnehmer", "Reality-Show-Kandidat", "Teilnehmer einer Reality-Show", "Big-Brother-Teilnehmer", "Dschungelcamp", "Internetphänomen", "Webvideoproduzent")
 TITLES = {
     1: f"{_turn(40, *LISTS)} || ' Dingen ' || {ID}",
-    2: "CAST(1000 + doc_id % 1000 AS STRING)",
+    2: _pick(40, "CAST(1000 + doc_id % 1000 AS STRING)", "CAST(1 + doc_id % 99 AS STRING) || ' v. Chr.'"),
     4: f"CAST(1 + doc_id % 28 AS STRING) || '. ' || {_turn(40, *MONTHS)}",
-    5: f"'Serie ' || {_turn(40, *(w.capitalize() for w in P.EPISODE_WORDS))} || ' ' || {ID}",
+    5: _pick(40, *(f"'Serie {w.capitalize()} ' || {ID}" for w in P.EPISODE_WORDS), *(f"CAST(1 + doc_id % 9 AS STRING) || '. {w.capitalize()}'" for w in P.EPISODE_WORDS), f"'Doc ' || {ID} || ' (Episode)'", "'Folgenliste'", "'Staffelliste'"),
     6: f"'Doc ' || {ID} || ' (' || {_turn(40, *FICTION)} || ')'",
     7: f"'Doc ' || {ID} || ' (' || {_turn(40, *PROMO)} || ')'",
     8: f"{_turn(40, *P.NAMESPACES)} || ':Doc ' || {ID}",
-    9: f"'Person ' || {ID} || ' (' || {_turn(40, *ROLES)} || ', *' || {_turn(40, '1950', '1999', '2000', '2019')} || ')'",
+    9: f"'Person ' || {ID} || ' (' || {_turn(40, *ROLES)} || ', *' || {_turn(40, '1950', '1999', '2000', '2019', '1949')} || ')'",
     11: "'Doc ' || CAST(doc_id - 1 AS STRING)",
     12: "'   '",
     14: "'Episodenliste'",
-    15: "'19. Jahrhundert'",
+    15: _turn(40, "19. Jahrhundert", "3. Jahrhundert v. Chr."),
     16: f"'  doc_' || {ID} || '  x '",
-    17: f"CAST(1 + doc_id % 99 AS STRING) || ' v. Chr.'",
-    18: f"CAST(1 + doc_id % 20 AS STRING) || '. Jahrhundert v. Chr.'",
-    19: f"CAST(1 + doc_id % 9 AS STRING) || '. ' || {_turn(40, 'Staffel', 'Episode', 'Kapitel')}",
-    21: f"'Doc ' || {ID} || ' (Episode)'",
-    22: f"'Person ' || {ID} || ' (Sänger, *1949)'",
 }
 BANNERS = {
     16: f"'{{{{' || {_turn(50, 'Stub', 'Substub|x')} || '}}}}'",
