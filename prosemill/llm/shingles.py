@@ -5,9 +5,10 @@ shingles of two sets' union each is in both with the sets' similarity as probabi
 meet once in ten million.  Nodes that meet are compared by SimHashes of 1,024 bits inside the task, which a pair of that
 similarity fails once in thirty thousand, one of 0.83 once in a hundred million; what is left is compared by the whole sets.
 
-A crowded shingle, as of a passage that many texts share, is split by the nodes' SimHashes: each stands under SEGMENTS of
-16 bits and these with one set bit cleared.  A pair of similarity 0.8 that meets under crowded shingles only meets there
-with a probability of 0.994 for each of them.
+Of a dense group, as of a passage that many texts share, a task doesn't compare all pairs: members meet under SEGMENTS of
+16 bits of their SimHashes and these with one set bit cleared.  A crowded group, too large for one task, is split by the
+same keys before it is dealt.  A pair of similarity 0.8 that meets in such groups only meets there with a probability of
+0.994 for each of them.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ SEED = 42
 WIDE, KEYS = 16, 10
 #: From that number of shingles on, the share of differing bits follows the law of many.
 LARGE = 64
-#: A shingle is crowded if more nodes than that stand under it.  Crowded shingles up to MOST_BROADCAST are broadcast.
-CROWDED, SEGMENTS, MOST_BROADCAST = 4096, 16, 500_000
+#: More nodes than that under a shingle make a dense, a crowded group; crowded shingles up to MOST_BROADCAST are broadcast.
+DENSE, CROWDED, SEGMENTS, MOST_BROADCAST = 2048, 1 << 20, 16, 500_000
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -176,7 +177,27 @@ def _steps(gram: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.
             yield apart, apart + step
 
 
-def nearest(groups: DataFrame, least: Fraction, heads: bool) -> DataFrame:
+def _meetings(gram: np.ndarray, root: np.ndarray, fp: np.ndarray, dense: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """_steps() of groups up to `dense` rows; of larger ones the pairs that share a segment but for a bit, some repeatedly."""
+    begin = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    size = np.diff(np.r_[begin, len(gram)])
+    few = np.flatnonzero(np.repeat(size <= dense, size))
+    for i, j in _steps(gram[few], root[few]):
+        yield few[i], few[j]
+    for at, n in zip(begin[size > dense].tolist(), size[size > dense].tolist(), strict=True):
+        for segment in np.ascontiguousarray(fp[at : at + n]).view(np.uint16)[:, :SEGMENTS].T:
+            places, keys = [np.arange(n)], [segment]
+            for bit in range(16):
+                places.append(np.flatnonzero(segment >> bit & 1))
+                keys.append(segment[places[-1]] ^ np.uint16(1 << bit))
+            place, key = np.concatenate(places), np.concatenate(keys)
+            order = np.argsort(key, kind="stable")
+            place, key = at + place[order], key[order]
+            for i, j in _steps(key, root[place]):
+                yield place[i], place[j]
+
+
+def nearest(groups: DataFrame, least: Fraction, heads: bool, dense: int = DENSE) -> DataFrame:
     """(a, b): for each node b of groups (gram, node, n, root, wide) the node a of another component whose fingerprint is
     nearest, among its groups' members, or with `heads` among its groups' least nodes.  One row a node at most."""
     bits = most_bits(least)
@@ -188,7 +209,9 @@ def nearest(groups: DataFrame, least: Fraction, heads: bool) -> DataFrame:
             def met(i: np.ndarray, j: np.ndarray) -> None:
                 near, differ = _may_be_near(n[i], n[j], fp[i], fp[j], least, bits)
                 near &= (differ < best[i]) | (differ == best[i]) & (node[j] < partner[i])
-                best[i[near]], partner[i[near]] = differ[near], node[j[near]]
+                i, differ, other = i[near], differ[near], node[j[near]]
+                order = np.lexsort((-other, -differ, i))  # of a row that comes twice the nearest is put last
+                best[i[order]], partner[i[order]] = differ[order], other[order]
 
             if heads:
                 group = np.cumsum(np.r_[0, gram[1:] != gram[:-1]])
@@ -197,7 +220,7 @@ def nearest(groups: DataFrame, least: Fraction, heads: bool) -> DataFrame:
                 at = np.flatnonzero(root != root[head])
                 met(at, head[at])
             else:
-                for i, j in _steps(gram, root):
+                for i, j in _meetings(gram, root, fp, dense):
                     met(i, j)
                     met(j, i)
             at = np.flatnonzero(best <= 64 * WIDE)
@@ -209,7 +232,7 @@ def nearest(groups: DataFrame, least: Fraction, heads: bool) -> DataFrame:
     return found.select(F.col("best.other").alias("a"), F.col("node").alias("b"))
 
 
-def all_pairs(groups: DataFrame, least: Fraction) -> DataFrame:
+def all_pairs(groups: DataFrame, least: Fraction, dense: int = DENSE) -> DataFrame:
     """(a, b): all pairs of nodes of different components that can be near enough by size and fingerprint.  A pair comes
     from the group of the least key that both have."""
     bits = most_bits(least)
@@ -217,7 +240,7 @@ def all_pairs(groups: DataFrame, least: Fraction) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, node, n, root, fp, key, packed in whole_keys(batches, 7):
             keys, found = packed.view(np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for i, j in _steps(gram, root):
+            for i, j in _meetings(gram, root, fp, dense):
                 near, _ = _may_be_near(n[i], n[j], fp[i], fp[j], least, bits)
                 i, j = i[near], j[near]
                 before = (keys[i][:, :, None] == keys[j][:, None, :]) & (keys[i] < key[i][:, None])[:, :, None]
@@ -229,7 +252,7 @@ def all_pairs(groups: DataFrame, least: Fraction) -> DataFrame:
     return groups.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFrame, size: int, least: Fraction, crowded: int = CROWDED) -> DataFrame:
+def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFrame, size: int, least: Fraction, dense: int = DENSE, crowded: int = CROWDED) -> DataFrame:
     """(a, b): verified links that connect all nodes near enough to each other.  rows: measured(), stored, dropped when
     read; nodes: (node, id, digest); first: (a, b), pairs to try before any other.
 
@@ -254,7 +277,7 @@ def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFr
         return full.select("gram", "node", "n", "root", "wide", "key", "packed").sortWithinPartitions("gram")
 
     links = None
-    for found in (lambda: first.unionByName(nearest(groups(None), least, heads=True)), lambda: nearest(groups(links), least, heads=False), lambda: all_pairs(groups(links), least)):
+    for found in (lambda: first.unionByName(nearest(groups(None), least, heads=True)), lambda: nearest(groups(links), least, heads=False, dense=dense), lambda: all_pairs(groups(links), least, dense)):
         tried = stored(found(), "tried-pairs")
         near = verified(tried, nodes, docs, size, least)
         links = near if links is None else stored(links.unionByName(near), "near-pairs")
