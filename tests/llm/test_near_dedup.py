@@ -95,12 +95,14 @@ def test_crowded_shingles_are_split(spark):
     nodes = shingles.measured(docs, 5).select("node", "wide", "keys")
     sizes = lambda most: [r["n"] for r in shingles.posts(nodes, most).groupBy("gram").agg(F.count("*").alias("n")).collect()]
     assert max(sizes(1000)) > 40 > 20 > max(sizes(16))
-    rows = common.stored(shingles.measured(docs, 5), "measured")
-    known = common.stored(rows.select("node", "id", "digest"), "nodes")
-    found = shingles.near_links(rows, known, docs, known.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), 5, Fraction(4, 5), crowded=16)
-    roots = {r["node"]: r["root"] for r in graph.components(found).collect()}
-    of = {r["id"]: roots.get(r["node"]) for r in known.collect()}
-    assert all(of[n] is not None and of[n] == of[n + 1] for n in range(0, 120, 2)) and len(set(of.values())) == 60
+    for split in ({"dense": 16}, {"crowded": 16}):
+        rows = common.stored(shingles.measured(docs, 5), "measured")
+        known = common.stored(rows.select("node", "id", "digest"), "nodes")
+        none = known.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        found = shingles.near_links(rows, known, docs, none, 5, Fraction(4, 5), **split)
+        roots = {r["node"]: r["root"] for r in graph.components(found).collect()}
+        of = {r["id"]: roots.get(r["node"]) for r in known.collect()}
+        assert all(of[n] is not None and of[n] == of[n + 1] for n in range(0, 120, 2)) and len(set(of.values())) == 60
 
 
 def test_majority_counts_every_row():
