@@ -147,7 +147,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, lea
             sets = [shingles(t, size).view(np.int64) for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "grams"])
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id", "digest"), "node")
+    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+    asked = ends.distinct().join(nodes.select("node", "id", "digest"), "node")
     texts = docs.join(asked, ["id", "digest"]).select("node", "text").dropDuplicates(["node"])
     sets = stored(texts.mapInArrow(run, "node bigint, grams array<bigint>"), "shingle-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
