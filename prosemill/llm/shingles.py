@@ -4,6 +4,8 @@ Texts of equal shingle sets are one node.  A node stands under its KEYS shingles
 shingles of two sets' union each is in both with the sets' similarity as probability, so sets of similarity 0.8 fail to
 meet once in ten million.  Nodes that meet are compared by SimHashes of 1,024 bits inside the task, which a pair of that
 similarity fails once in thirty thousand, one of 0.83 once in a hundred million; what is left is compared by the whole sets.
+That, too, is done inside a task, block by block of a group's sets, and gives links of a forest: texts that are almost near
+enough are compared with each other, but no row is made of such a pair.
 
 Of a dense group, as of a passage that many texts share, a task doesn't compare all pairs: members meet under SEGMENTS of
 16 bits of their SimHashes and these with one set bit cleared.  A crowded group, too large for one task, is split by the
@@ -35,6 +37,8 @@ WIDE, KEYS = 16, 10
 LARGE = 64
 #: More nodes than that under a shingle make a dense, a crowded group; crowded shingles up to MOST_BROADCAST are broadcast.
 DENSE, CROWDED, SEGMENTS, MOST_BROADCAST = 2048, 1 << 20, 16, 500_000
+#: Shingles of a block of whole sets, of which a task holds two; pairs that are put in order at a time.
+BLOCK, PAIRS = 1 << 20, 1 << 20
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -111,46 +115,48 @@ def node_of(grams: np.ndarray) -> int:
 
 
 def measured(docs: DataFrame, size: int) -> DataFrame:
-    """(id, digest, node, n, fp, wide, keys, packed) of docs (id, text, digest): a text's set, its size, fingerprints and
-    keys, these also as KEYS numbers in a row, the last one repeated."""
+    """(id, digest, node, n, fp, wide, keys) of docs (id, text, digest): a text's set, its size, fingerprints and keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             sets = [shingles(t, size) for t in as_bytes(batch.column(1))]
             fps = [wide(s) for s in sets]
-            own = [s[:KEYS].view(np.int64) for s in sets]
-            keys, packed = pa.array(own, pa.list_(pa.int64())), pa.array([np.pad(k, (0, KEYS - len(k)), "edge" if len(k) else "constant").tobytes() for k in own], pa.binary())
-            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([x[0] for x in fps]).view(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), keys, packed]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "digest", "node", "n", "fp", "wide", "keys", "packed"])
+            keys = pa.array([s[:KEYS].view(np.int64) for s in sets], pa.list_(pa.int64()))
+            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([x[0] for x in fps]).view(np.int64)), pa.array([x.tobytes() for x in fps], pa.binary()), keys]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "digest", "node", "n", "fp", "wide", "keys"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "digest").mapInArrow(run, f"id {kind}, digest string, node bigint, n bigint, fp bigint, wide binary, keys array<bigint>, packed binary")
+    return docs.select("id", "text", "digest").mapInArrow(run, f"id {kind}, digest string, node bigint, n bigint, fp bigint, wide binary, keys array<bigint>")
 
 
 def posts(nodes: DataFrame, most: int) -> DataFrame:
-    """(gram, node, key) of nodes (node, wide, keys): the groups in which nodes meet, under which of their keys; the groups
-    of crowded keys are split."""
+    """(gram, node) of nodes (node, wide, keys): the groups in which nodes meet; the groups of crowded keys are split."""
     rows = nodes.select("node", "wide", F.explode("keys").alias("key"))
     crowded = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key"), "crowded-shingles")
     broadcast = crowded.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     rows = rows.join(crowded.withColumn("many", F.lit(True)).hint("broadcast" if broadcast else "merge"), "key", "left")
     segment = f"transform(sequence(0, {SEGMENTS - 1}), i -> struct(i, cast(conv(hex(substring(wide, 2 * i + 1, 2)), 16, 10) as int) as h))"
     variants = "flatten(transform({0}, s -> transform(concat(array(0), transform(filter(sequence(0, 15), p -> (s.h & shiftleft(1, p)) != 0), p -> shiftleft(1, p))), m -> xxhash64(key, s.i, s.h ^ m))))".format(segment)
-    return rows.select("node", "key", F.explode(F.expr(f"if(many, {variants}, array(key))")).alias("gram"))
+    return rows.select("node", F.explode(F.expr(f"if(many, {variants}, array(key))")).alias("gram"))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: Fraction) -> DataFrame:
-    """The pairs (a, b) whose whole sets are near enough; texts are fetched by a node's least row (id, digest)."""
+def sets_of(ends: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, grams) of ends (node), distinct: the whole sets; texts are fetched by a node's least row (id, digest)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             sets = [shingles(t, size).view(np.int64) for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "grams"])
 
-    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
-    asked = ends.distinct().join(nodes.select("node", "id", "digest"), "node")
+    asked = ends.join(nodes.select("node", "id", "digest"), "node")
     texts = docs.join(asked, ["id", "digest"]).select("node", "text").dropDuplicates(["node"])
-    sets = stored(texts.mapInArrow(run, "node bigint, grams array<bigint>"), "shingle-sets")
+    return stored(texts.mapInArrow(run, "node bigint, grams array<bigint>"), "shingle-sets")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """The pairs (a, b) whose whole sets are near enough."""
+    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+    sets = sets_of(ends.distinct(), nodes, docs, size)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
     shared = both.select("a", "b", (F.size("x") + F.size("y")).alias("total"), F.size(F.array_intersect("x", "y")).alias("shared"))
     out = stored(shared.where(F.col("shared") * least.denominator >= (F.col("total") - F.col("shared")) * least.numerator).select("a", "b").distinct(), "near-pairs")
@@ -233,55 +239,134 @@ def nearest(groups: DataFrame, least: Fraction, heads: bool, dense: int = DENSE)
     return found.select(F.col("best.other").alias("a"), F.col("node").alias("b"))
 
 
-def all_pairs(groups: DataFrame, least: Fraction, dense: int = DENSE) -> DataFrame:
-    """(a, b): all pairs of nodes of different components that can be near enough by size and fingerprint.  A pair comes
-    from the group of the least key that both have."""
-    bits = most_bits(least)
+def _suspected(gram: np.ndarray, n: np.ndarray, root: np.ndarray, fp: np.ndarray, least: Fraction, bits: np.ndarray, dense: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """_meetings() of rows that can be near enough by size and fingerprint."""
+    for i, j in _meetings(gram, root, fp, dense):
+        near, _ = _may_be_near(n[i], n[j], fp[i], fp[j], least, bits)
+        yield i[near], j[near]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, node, n, root, fp, key, packed in whole_keys(batches, 7):
-            keys, found = packed.view(np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for i, j in _meetings(gram, root, fp, dense):
-                near, _ = _may_be_near(n[i], n[j], fp[i], fp[j], least, bits)
-                i, j = i[near], j[near]
-                before = (keys[i][:, :, None] == keys[j][:, None, :]) & (keys[i] < key[i][:, None])[:, :, None]
-                first = ~before.any(axis=(1, 2))
-                found.append((node[i[first]], node[j[first]]))
-            pairs = np.unique(np.sort(np.stack([np.concatenate(x) for x in zip(*found, strict=True)], axis=1), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return groups.mapInArrow(run, "a bigint, b bigint").distinct()
+def suspects(groups: DataFrame, least: Fraction, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
+    """The rows of groups (gram, node, n, root, wide) that can be near enough to another one of their group and of a
+    different component, by size and fingerprint; and `parts`, the blocks that the whole sets of the group's suspects make."""
+    bits = most_bits(least)
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, node, n, root, fp in whole_keys(batches, 5):
+            hit = np.zeros(len(gram), bool)
+            for i, j in _suspected(gram, n, root, fp, least, bits, dense):
+                hit[i] = hit[j] = True
+            at = np.flatnonzero(hit)
+            of = np.unique(gram[at], return_inverse=True)[1]
+            parts = -(-np.bincount(of, n[at]).astype(np.int64) // block)
+            wides = pa.array([x.tobytes() for x in fp[at]], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in (gram, node, n, root)), wides, pa.array(parts[of])], names=["gram", "node", "n", "root", "wide", "parts"])
+
+    return groups.mapInArrow(run, "gram bigint, node bigint, n bigint, root bigint, wide binary, parts bigint")
+
+
+def _joined(place: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, fp: np.ndarray, side: np.ndarray, grams: np.ndarray, least: Fraction, bits: np.ndarray, dense: int) -> tuple[list, list]:
+    """Links of a forest that connects all components with near enough rows in one place; grams are the rows' whole sets.
+    Rows of sides 0 and 1 meet those of other sides only."""
+    values, known = np.unique(np.concatenate(grams), return_inverse=True)
+    sets, has = np.split(known, np.cumsum(n)[:-1]), np.zeros(len(values), bool)
+    _, first, of = np.unique(root, return_index=True, return_inverse=True)
+    up, left, right = first[of], [], []
+
+    def top(at: np.ndarray) -> np.ndarray:
+        out = up[at]
+        while (up[out] != out).any():
+            out = up[out]
+        up[at] = out
+        return out
+
+    def verify(pairs: np.ndarray) -> None:
+        a, b = np.divmod(np.unique(pairs), len(place))
+        cut = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])
+        for begin, end in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            i, j = a[begin], b[begin:end]
+            j = j[top(j) != top(a[begin : begin + 1])]
+            if not len(j):
+                continue
+            has[sets[i]] = True
+            shared = np.add.reduceat(has[np.concatenate([sets[x] for x in j.tolist()])], np.cumsum(n[j]) - n[j], dtype=np.int64)
+            has[sets[i]] = False
+            near = j[shared * least.denominator >= (n[i] + n[j] - shared) * least.numerator]
+            roots, at = np.unique(top(near), return_index=True)
+            left.extend([int(node[i])] * len(at))
+            right.extend(node[near[at]].tolist())
+            up[roots] = top(a[begin : begin + 1])
+
+    held, many = [], 0
+    for i, j in _suspected(place, n, root, fp, least, bits, dense):
+        meet = (side[i] != side[j]) | (side[i] == 2)
+        held.append(np.minimum(i, j)[meet] * len(place) + np.maximum(i, j)[meet])
+        many += len(held[-1])
+        if many >= PAIRS:
+            verify(np.concatenate(held))
+            held, many = [], 0
+    if many:
+        verify(np.concatenate(held))
+    return left, right
+
+
+def linked(rows: DataFrame, sets: DataFrame, least: Fraction, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that connect the components of rows, which are suspects(), that have near enough nodes in a group, by
+    their whole sets (node, grams).  A task gives one row less than it sees components at most.
+
+    A group whose sets make several blocks meets block by block: a row comes as often as its group has blocks, and a task
+    holds two of them at a time, or one batch of smaller groups."""
+    bits = most_bits(least)
 
-def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFrame, size: int, least: Fraction, dense: int = DENSE, crowded: int = CROWDED) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_keys(batches, 7):
+            place, n = whole[0], whole[2]
+            begin = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            piece = (np.cumsum(n) - n)[begin] // (2 * block)
+            cut = [0, *begin[1:][piece[1:] != piece[:-1]].tolist(), len(place)]
+            for i, j in zip(cut[:-1], cut[1:], strict=True):
+                left, right = _joined(*(x[i:j] for x in whole), least, bits, dense)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right)], names=["a", "b"])
+
+    met = rows.select("*", F.expr("pmod(xxhash64(node), parts)").alias("own"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("other"))
+    met = met.select(F.expr("xxhash64(gram, least(own, other), greatest(own, other))").alias("place"), "node", "n", "root", "wide", F.expr("if(own = other, 2, if(own < other, 0, 1))").alias("side"))
+    dealt = met.join(sets, "node").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "place")
+    return dealt.select("place", "node", "n", "root", "wide", "side", "grams").sortWithinPartitions("place").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def near_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, first: DataFrame, size: int, least: Fraction, dense: int = DENSE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
     """(a, b): verified links that connect all nodes near enough to each other.  rows: measured(), stored, dropped when
     read; nodes: (node, id, digest); first: (a, b), pairs to try before any other.
 
     Pairs are tried in the order in which they join most nodes for one comparison: `first`, and each node with the nearest
-    head of its groups; each with the nearest member of another component; then all that can be near and still lie in
-    different components."""
+    head of its groups; each with the nearest member of another component; then, inside the tasks, all that can be near and
+    still lie in different components."""
     deal = lambda df: df.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram")
-    of_node = stored(rows.join(nodes.select("node", "id", "digest"), ["node", "id", "digest"], "left_semi").select("node", "n", "wide", "keys", "packed").dropDuplicates(["node"]), "node-sets")
+    of_node = stored(rows.join(nodes.select("node", "id", "digest"), ["node", "id", "digest"], "left_semi").select("node", "n", "wide", "keys").dropDuplicates(["node"]), "node-sets")
     drop_stored(rows)
     group = Window.partitionBy("gram")
-    met = deal(posts(of_node, crowded)).select("gram", "node", "key", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("high"))
-    shared = stored(met.where("low != high").select("gram", "node", "key"), "shared-shingles")
+    met = deal(posts(of_node, crowded)).select("gram", "node", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("high"))
+    shared = stored(met.where("low != high").select("gram", "node"), "shared-shingles")
 
     def groups(links: DataFrame | None) -> DataFrame:
-        """(gram, node, n, root, wide, key, packed), dealt and sorted by gram; with links only of groups that span several
-        components."""
+        """(gram, node, n, root, wide), dealt and sorted by gram; with links only of groups that span several components."""
         if links is None:
-            full = deal(shared.join(of_node.select("node", "n", F.col("node").alias("root"), "wide", "packed"), "node"))
+            full = deal(shared.join(of_node.select("node", "n", F.col("node").alias("root"), "wide"), "node"))
         else:
             rooted = of_node.drop("keys").join(components(links).distinct(), "node", "left").withColumn("root", F.coalesce("root", "node"))
             full = deal(shared.join(rooted, "node")).select("*", F.min("root").over(group).alias("low"), F.max("root").over(group).alias("high")).where("low != high")
-        return full.select("gram", "node", "n", "root", "wide", "key", "packed").sortWithinPartitions("gram")
+        return full.select("gram", "node", "n", "root", "wide").sortWithinPartitions("gram")
 
     links = None
-    for found in (lambda: first.unionByName(nearest(groups(None), least, heads=True)), lambda: nearest(groups(links), least, heads=False, dense=dense), lambda: all_pairs(groups(links), least, dense)):
+    for found in (lambda: first.unionByName(nearest(groups(None), least, heads=True)), lambda: nearest(groups(links), least, heads=False, dense=dense)):
         tried = stored(found(), "tried-pairs")
         near = verified(tried, nodes, docs, size, least)
         links = near if links is None else stored(links.unionByName(near), "near-pairs")
+    left = stored(suspects(groups(links), least, dense, block), "suspected-rows")
+    sets = sets_of(left.select("node").distinct(), nodes, docs, size)
+    links = stored(links.unionByName(linked(left, sets, least, dense, block)), "near-pairs")
+    drop_stored(sets)
+    drop_stored(left)
     drop_stored(shared)
     drop_stored(of_node)
     return links

@@ -105,6 +105,70 @@ def test_crowded_shingles_are_split(spark):
         assert all(of[n] is not None and of[n] == of[n + 1] for n in range(0, 120, 2)) and len(set(of.values())) == 60
 
 
+def family(rng, number, words=480, changed=7):
+    """Texts of one base, each with its own words at `changed` places; with 7 of 480 mostly of similarity 0.74 to each other."""
+    base = [f"b{i}" for i in range(words)]
+    texts = []
+    for _ in range(number):
+        own = list(base)
+        for at in rng.sample(range(0, words, 6), changed):
+            own[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_almost_near_texts_make_no_rows_of_pairs(spark, monkeypatch):
+    """No table of the stage has more rows than texts have shingles that they meet under; it is still what all pairs give."""
+    texts = dict(enumerate(family(random.Random(14), 300)))
+    made = {}
+
+    def counted(df, tag, *rest):
+        out = common.stored(df, tag, *rest)
+        made[tag] = max(made.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(shingles, "stored", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    left, pairs = brute_force(texts)
+    kept = {r["doc_id"] for r in simhash.deduplicated(docs).collect()}
+    assert kept == left and 150 < len(left) < 300 and pairs
+    assert max(made.values()) <= shingles.KEYS * len(texts), made
+
+
+def test_whole_sets_meet_block_by_block(spark, monkeypatch):
+    """The last step alone finds every component, in one block or in many, dense or not, and gives a forest in each task."""
+    rng = random.Random(15)
+    texts = dict(enumerate([*family(rng, 80, changed=5), *family(rng, 40, 120, 1), *family(rng, 30)]))
+    docs = spark.createDataFrame([(i, t, "") for i, t in texts.items()], "id bigint, text string, digest string")
+    left, pairs = brute_force(texts)
+    assert pairs > 4 * len(texts)
+    monkeypatch.setattr(shingles, "nearest", lambda groups, *_, **__: groups.selectExpr("node as a", "node as b").limit(0))
+    for how in ({}, {"block": 9000}, {"block": 3000, "dense": 16}):
+        rows = common.stored(shingles.measured(docs, 5), "measured")
+        known = common.stored(rows.groupBy("node").agg(F.min("id").alias("id"), F.lit("").alias("digest")), "nodes")
+        none = known.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        found = shingles.near_links(rows, known, docs, none, 5, Fraction(4, 5), **how)
+        roots = {r["node"]: r["root"] for r in graph.components(found).collect()}
+        of = {}
+        for r in known.collect():
+            of.setdefault(roots.get(r["node"], r["node"]), []).append(r["id"])
+        assert {min(ids) for ids in of.values()} == left
+        if not how:
+            assert found.count() < shingles.KEYS * 4 * len(texts)
+
+
+def test_pairs_of_a_dense_group_meet_in_a_small_one(spark):
+    """Two nodes whose least key is a dense group's, where they share no segment, are suspects under another key."""
+    rng = np.random.default_rng(16)
+    wides = [rng.integers(0, 1 << 64, shingles.WIDE, dtype=np.uint64) for _ in range(5)]
+    wides[1] = wides[0].copy()
+    wides[1].view(np.uint16)[: shingles.SEGMENTS] ^= np.uint16(0b111)
+    rows = [(gram, i, 1000, i, wides[i].tobytes()) for gram, i in [(1, 0), (1, 1), (1, 2), (1, 3), (1, 4), (2, 0), (2, 1)]]
+    groups = spark.createDataFrame(rows, "gram bigint, node bigint, n bigint, root bigint, wide binary").coalesce(1).sortWithinPartitions("gram")
+    got = shingles.suspects(groups, Fraction(4, 5), dense=3).collect()
+    assert sorted((r["gram"], r["node"], r["parts"]) for r in got) == [(2, 0, 1), (2, 1, 1)]
+
+
 def test_majority_counts_every_row():
     rng = np.random.default_rng(3)
     for n in (1, 2, 3, 10, 1000, 9001):
